@@ -90,7 +90,8 @@ def jaro_winkler_at_least(a: Column, b: Column, threshold: float) -> Column:
         return F.length(x) - F.length(F.call_function("translate", x, y, F.lit("")))
 
     most = F.least(occurring(a, b), occurring(b, a))
-    ceiling = (most / F.length(a) + most / F.length(b) + 1) / 3
-    filled = (F.length(a) > 0) & (F.length(b) > 0)
-    hopeful = filled & (_boost(ceiling, a, b) >= threshold - 1e-9)
-    return hopeful & (jaro_winkler(a, b) >= threshold)
+    # Not guarded by a condition: the planner may compute a repeated division ahead of it.
+    ceiling = (F.try_divide(most, F.length(a)) + F.try_divide(most, F.length(b)) + 1) / 3
+    empty = (F.length(a) == 0) | (F.length(b) == 0)
+    hopeless = empty | (_boost(ceiling, a, b) < threshold - 1e-9)
+    return ~hopeless & (jaro_winkler(a, b) >= threshold)

@@ -249,9 +249,9 @@ def q_compact_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
+    # A pattern, so that the table may be one file as well as a folder of files.
+    stream = read_file_stream(spark, f"{sf_dir}/events.parque[t]", events(spark, sf_dir).schema)
     table = _load_table(spark, "stream")
-    stream = read_file_stream(spark, path, spark.read.parquet(path).schema)
     stream_upsert(stream, table, scratch_path(spark, "stream-checkpoint")).awaitTermination()
     return _state(table.current())
 
