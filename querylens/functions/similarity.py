@@ -43,18 +43,25 @@ def _match_positions(a: Column, b: Column) -> Column:
     ``b`` at most ``reach`` places away.
     """
     half = F.floor(F.greatest(F.length(a), F.length(b)) / 2).cast("int")
-    reach = F.greatest(half - 1, F.lit(0))
 
-    def take(state: Column, i: Column) -> Column:
-        at = F.call_function("locate", _char(a, i), state["free"], F.greatest(i - reach, F.lit(1)))
-        taken = F.struct(
-            F.overlay(state["free"], F.lit(_USED), at, F.lit(1)).alias("free"),
-            F.array_append(state["matched"], at).alias("matched"),
-        )
-        return F.when((at > 0) & (at <= i + reach), taken).otherwise(state)
+    def walk(reach: Column) -> Column:
+        def take(state: Column, i: Column) -> Column:
+            at = F.call_function("locate", _char(a, i), state["free"], F.greatest(i - reach, F.lit(1)))
+            return _let(
+                at,
+                lambda found: F.when(
+                    (found > 0) & (found <= i + reach),
+                    F.struct(
+                        F.overlay(state["free"], F.lit(_USED), found, F.lit(1)).alias("free"),
+                        F.array_append(state["matched"], found).alias("matched"),
+                    ),
+                ).otherwise(state),
+            )
 
-    start = F.struct(b.alias("free"), F.array().cast("array<int>").alias("matched"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(a)), start, take, lambda state: state["matched"])
+        start = F.struct(b.alias("free"), F.array().cast("array<int>").alias("matched"))
+        return F.aggregate(F.sequence(F.lit(1), F.length(a)), start, take, lambda state: state["matched"])
+
+    return _let(F.greatest(half - 1, F.lit(0)), walk)
 
 
 def jaro(a: Column, b: Column) -> Column:
@@ -75,7 +82,12 @@ def jaro(a: Column, b: Column) -> Column:
 
 def jaro_winkler(a: Column, b: Column) -> Column:
     """Similarity from 0 to 1; NULL if either text is NULL."""
-    return _let(jaro(a, b), lambda j: _boost(j, a, b))
+
+    # Expressions over columns would be evaluated anew in each step; over a bound pair they are not.
+    def of(pair: Column) -> Column:
+        return _let(jaro(pair["a"], pair["b"]), lambda j: _boost(j, pair["a"], pair["b"]))
+
+    return _let(F.struct(a.alias("a"), b.alias("b")), of)
 
 
 def jaro_winkler_at_least(a: Column, b: Column, threshold: float) -> Column:

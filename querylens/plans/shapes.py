@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from querylens.operators.joins import lookup_join
+from querylens.sources.scan import balanced
+from querylens.sources.scratch import materialize
+
 # Orders whose lines share one export document: bounds a document's size whatever the data's.
 ORDERS_PER_DOCUMENT = 4096
 
@@ -94,7 +98,7 @@ def _measures() -> list[Column]:
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat search query per line item, with the order it comes from."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = balanced(table(spark, sf_dir, "lineitem"))
     name, number = F.col("p_name"), F.col("l_linenumber")
     adjective, noun = _word(name, 0), _word(name, 1)
     query = (
@@ -106,12 +110,12 @@ def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(number == 6, F.concat(adjective, F.lit(" "), noun, F.lit("s & grill")))
         .otherwise(adjective)
     )
-    domains = brands(spark, sf_dir).select("restaurant_id", "domain")
-    return (
-        lines.join(part, lines.l_partkey == part.p_partkey)
-        .select(F.col("l_suppkey").alias("restaurant_id"), "l_orderkey", *_measures(), query.alias("query"))
-        .join(domains, "restaurant_id")
-        .select("restaurant_id", "domain", "clicks", "ctr", "impressions", "position", "query", "l_orderkey")
+    domains = materialize(brands(spark, sf_dir).select("restaurant_id", "domain"), "domains")
+    searched = lines.join(part, lines.l_partkey == part.p_partkey).select(
+        F.col("l_suppkey").alias("restaurant_id"), "l_orderkey", *_measures(), query.alias("query")
+    )
+    return lookup_join(searched, domains, ["restaurant_id"], how="inner").select(
+        "restaurant_id", "domain", "clicks", "ctr", "impressions", "position", "query", "l_orderkey"
     )
 
 
@@ -124,7 +128,7 @@ def rule_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     extended = F.col("l_linenumber") % 3 == 0
     query = F.when(extended, F.concat(pick(0), F.lit(" "), F.col("l_orderkey") % 100)).otherwise(pick(0))
-    return table(spark, sf_dir, "lineitem").select(
+    return balanced(table(spark, sf_dir, "lineitem")).select(
         F.col("l_suppkey").alias("restaurant_id"), pick(1).alias("domain"), *_measures(), query.alias("query")
     )
 

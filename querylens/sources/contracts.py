@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from querylens.sources.scan import balanced
+
 # The key's type is not part of the contract (None): any type that can be compared is accepted.
 SEARCH_EXPORT: dict[str, T.DataType | None] = {
     "restaurant_id": None,
@@ -38,7 +40,7 @@ def conform(df: DataFrame, contract: dict[str, T.DataType | None]) -> DataFrame:
 
 def read_source(spark: SparkSession, location: str, fmt: str | None = None) -> DataFrame:
     """Read a path in the given format, or a catalog table when no format is named."""
-    return spark.read.format(fmt).load(location) if fmt else spark.table(location)
+    return balanced(spark.read.format(fmt).load(location) if fmt else spark.table(location))
 
 
 def read_search_export(spark: SparkSession, location: str, fmt: str | None = "parquet") -> DataFrame:
