@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from querylens.operators.joins import lookup_join, measured_bytes
+from querylens.operators.shares import share_of_total
+from querylens.sources.scratch import materialize
+
+# How the looked-up side gets to the rows: broadcast, shuffled, shuffled with hot keys spread.
+WAYS = [(1 << 20, 1000), (0, 1_000_000), (0, 10)]
+
+
+@pytest.fixture(scope="module")
+def left(spark):
+    hot = spark.range(300).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
+    return hot.unionByName(spark.createDataFrame([(None, 1000), (None, 1001), (9999, 1002)], "k bigint, id bigint"))
+
+
+@pytest.fixture(scope="module")
+def right(spark):
+    rows = [(k, f"v{k}") for k in range(200)] + [(1, "again"), (None, "none")]
+    return materialize(spark.createDataFrame(rows, "k bigint, v string"), "right")
+
+
+def test_measured_bytes(spark):
+    df = spark.createDataFrame([("ab", 1), (None, 2), ("é", 3)], "s string, n int")
+    assert measured_bytes(df) == 3 * 2 * 8 + 4
+    assert measured_bytes(df.where("n > 5")) == 0
+
+
+@pytest.mark.parametrize("max_bytes, hot_rows", WAYS)
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_equals_plain_join(left, right, how, null_safe, max_bytes, hot_rows):
+    joined = lookup_join(left, right, ["k"], how, null_safe, max_bytes, hot_rows)
+    assert joined.columns == ["k", "id", "v"]
+    other = right.withColumnRenamed("k", "k2")
+    same = F.col("k").eqNullSafe(F.col("k2")) if null_safe else F.col("k") == F.col("k2")
+    plain = left.join(other, same, how).drop("k2")
+    assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_hot_key_is_spread(left, right):
+    joined = lookup_join(left, right, ["k"], "inner", max_bytes=0, hot_rows=10)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and "_right_salt" in plan
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_shares(spark, max_bytes):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 0), (None, 5), (None, 15)], "g string, x bigint")
+    rows = share_of_total(df, ["g"], {"pct": "x"}, max_bytes).collect()
+    found = sorted((str(r["g"]), r["x"], r["pct"]) for r in rows)
+    assert found == [("None", 5, 25.0), ("None", 15, 75.0), ("a", 1, 33.33), ("a", 2, 66.67), ("b", 0, None)]
+
+
+def test_half_is_rounded_up(spark):
+    df = spark.createDataFrame([("a", 201), ("a", 19799)], "g string, x bigint")
+    assert sorted(r["pct"] for r in share_of_total(df, ["g"], {"pct": "x"}).collect()) == [1.01, 99.0]  # 1.005 and 98.995

@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from golden import ROWS
+from pyspark.sql import functions as F
+
+from querylens.functions.text import brand_name, normalize_query
+
+
+def normalized(spark, texts, **options):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, q string")
+    rows = df.select("i", normalize_query(F.col("q"), **options).alias("c")).orderBy("i").collect()
+    return [r["c"] for r in rows]
+
+
+def test_golden_rows(spark):
+    assert normalized(spark, [r[0] for r in ROWS]) == [r[2] for r in ROWS]
+
+
+@pytest.mark.parametrize(
+    "query, cleaned",
+    [
+        ("Pizza Dados", "izza ado"),
+        ("tacos", "taco"),
+        ("tacos near me", "tacos"),
+        ("  two   spaces ", "two spaces"),
+        ("soup $20 & salad", "soup salad"),
+        ("gift card balance checker", "checker"),
+        ("gift cards online", ""),
+        ("foods", "food"),
+        ("seafood", "seafood"),
+        ("delivers pizza", "pizza"),
+        ("menué", ""),
+        ("tab\tstop", "tabstop"),
+        (None, None),
+        ("s", ""),
+    ],
+)
+def test_steps(spark, query, cleaned):
+    assert normalized(spark, [query]) == [cleaned]
+
+
+def test_lowercase_first(spark):
+    assert normalized(spark, ["Pizza Dados"], lowercase_first=True) == ["pizza dado"]
+
+
+def test_brand_name(spark):
+    domains = {
+        "dadospizzaok.com": "dadospizzaok",
+        "big-bowl.com": "big bowl",
+        "my_place.net": "my place",
+        "foo.co.uk": "foo.co",
+        "nodotdomain": "nodotdomain",
+        "shop.COM": "shop.COM",
+        None: None,
+    }
+    df = spark.createDataFrame([(d,) for d in domains], "d string")
+    found = {r["d"]: r["b"] for r in df.select("d", brand_name(F.col("d")).alias("b")).collect()}
+    assert found == domains
+
+
+def test_word_edges_are_ascii(spark):
+    # Letters outside ASCII do not belong to a word, so the term next to one is removed.
+    texts = ["menué", "émenu", "café menu", "menu", "menus", "a_menu"]
+    term = re.compile(r"(?a:\bmenu\b)")
+    expected = [re.sub("s$", "", re.sub("[^a-z0-9 ]", "", term.sub("", t))).strip() for t in texts]
+    assert normalized(spark, texts) == expected
