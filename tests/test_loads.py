@@ -1,0 +1,145 @@
+from __future__ import annotations
+
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from querylens.sources import incremental
+from querylens.sources.incremental import LoadTable, incremental_read, latest_per_key, upsert
+from querylens.streaming.upsert import read_file_stream, stream_upsert
+
+SCHEMA = "k bigint, at timestamp, data string"
+T0 = datetime.datetime(2024, 1, 1)
+
+
+def at(hours):
+    return T0 + datetime.timedelta(hours=hours)
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame([(k, None if h is None else at(h), d) for k, h, d in rows], SCHEMA)
+
+
+def schema(spark):
+    return spark.createDataFrame([], SCHEMA).schema
+
+
+def found(df):
+    return sorted((r["k"], r["data"]) for r in df.select("k", "data").collect())
+
+
+def test_first_read_takes_all(spark):
+    source = frame(spark, (1, 1, "a"), (2, 2, "b"))
+    empty = source.where("false")
+    assert incremental_read(source, None, "at").count() == 2
+    assert incremental_read(source, empty, "at").count() == 2
+
+
+def test_later_read_takes_only_later_rows(spark):
+    source = frame(spark, (1, 1, "a"), (2, 2, "same time"), (3, 3, "new"), (4, None, "no time"))
+    target = frame(spark, (9, 2, "x"), (8, 0, "y"))
+    assert found(incremental_read(source, target, "at")) == [(3, "new")]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_high_water_reaches_the_scan(spark, tmp_path, kind):
+    path = str(tmp_path / "source")
+    frame(spark, (1, 30, "a"), (2, 60, "b")).withColumn("at", F.col("at").cast(kind)).write.parquet(path)
+    source = spark.read.parquet(path)
+    delta = incremental_read(source, source.where("k = 1"), "at")
+    assert found(delta) == [(2, "b")]
+    assert "GreaterThan(at" in delta._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_per_key(spark):
+    rows = frame(spark, (1, 1, "old"), (1, 3, "new"), (1, 2, "mid"), (2, 1, "a"), (2, 1, "b"), (None, 1, "n"))
+    assert latest_per_key(rows, ["k"], ["at"]).columns == rows.columns
+    kept = {(r["k"], r["data"]) for r in latest_per_key(rows, ["k"], ["at"]).collect()}
+    assert kept == {(1, "new"), (2, "b"), (None, "n")}
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_upsert(spark, monkeypatch, limit):
+    monkeypatch.setattr(incremental, "BROADCAST_BYTES", limit)
+    target = frame(spark, (1, 1, "a"), (2, 1, "b"))
+    delta = frame(spark, (2, 2, "B"), (3, 2, "C"))
+    once = upsert(target, delta, ["k"])
+    assert found(once) == [(1, "a"), (2, "B"), (3, "C")]
+    assert found(upsert(once, delta, ["k"])) == found(once)
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_load_table(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(incremental, "BROADCAST_BYTES", limit)
+    rng = random.Random(2)
+    table = LoadTable(spark, str(tmp_path / "t"), ["k"], ["at"])
+    with pytest.raises(ValueError):
+        table.rows()
+    expected, rows = {}, []
+    for load in range(4):
+        for _ in range(30):
+            k, hour = rng.randint(1, 20), 100 * load + rng.randint(1, 99)
+            rows.append((k, hour, f"{hour}-{len(rows)}"))
+        for k, hour, data in rows:
+            expected[k] = max(expected.get(k, (0, "")), (hour, data))
+        table.merge_new(frame(spark, *rows), "at")
+        assert found(table.current()) == sorted((k, v[1]) for k, v in expected.items())
+    assert len(table.loads()) == 4
+    compacted = table.compact(str(tmp_path / "compacted"))
+    assert len(compacted.loads()) == 1
+    assert found(compacted.current()) == found(table.current())
+
+
+def test_repeated_and_failed_loads(spark, tmp_path):
+    table = LoadTable(spark, str(tmp_path / "t"), ["k"], ["at"])
+    table.merge(frame(spark, (1, 1, "a")), "01")
+    table.merge(frame(spark, (1, 9, "other")), "01")
+    # A load whose job did not commit has files but no marker.
+    frame(spark, (1, 5, "half written")).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(str(tmp_path / "t" / "load=02"))
+    assert table.loads() == ["01"]
+    assert found(table.current()) == [(1, "a")]
+    table.merge(frame(spark, (1, 2, "b")), "02")
+    assert found(table.current()) == [(1, "b")]
+
+
+def test_late_load_does_not_undo_a_newer_row(spark, tmp_path):
+    table = LoadTable(spark, str(tmp_path / "t"), ["k"], ["at"])
+    table.merge(frame(spark, (1, 5, "new"), (2, 1, "x")), "01")
+    table.merge(frame(spark, (1, 3, "late"), (2, 1, "same time")), "02")
+    assert found(table.current()) == [(1, "new"), (2, "same time")]
+
+
+def test_stream(spark, tmp_path):
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    table = LoadTable(spark, str(tmp_path / "t"), ["k"], ["at"])
+
+    def run():
+        stream = read_file_stream(spark, source, schema(spark), max_files=1)
+        stream_upsert(stream, table, checkpoint).awaitTermination()
+
+    frame(spark, (1, 1, "a"), (2, 1, "b")).coalesce(1).write.parquet(source)
+    frame(spark, (2, 3, "B"), (3, 3, "c"), (2, 2, "x")).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert len(table.loads()) == 2
+    assert found(table.current()) == [(1, "a"), (2, "B"), (3, "c")]
+    run()
+    assert len(table.loads()) == 2
+    frame(spark, (1, 0, "late"), (4, 4, "d")).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert found(table.current()) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+
+
+def test_stream_batch_repeated_after_a_failure(spark, tmp_path):
+    source = str(tmp_path / "in")
+    frame(spark, (1, 1, "a")).coalesce(1).write.parquet(source)
+    table = LoadTable(spark, str(tmp_path / "t"), ["k"], ["at"])
+    for attempt in ("first", "second"):
+        # A new checkpoint makes the same batch run again.
+        stream = read_file_stream(spark, source, schema(spark))
+        stream_upsert(stream, table, str(tmp_path / attempt)).awaitTermination()
+    assert table.loads() == ["000000000000"]
+    assert found(table.current()) == [(1, "a")]
