@@ -13,8 +13,9 @@ from querylens.sources.scratch import materialize
 
 DAY_SECONDS = 86_400
 
-# Rows of one key that a single task may sort.
+# Rows of one key that a single task is meant to sort, and how far a slice may exceed that.
 SLICE_ROWS = 2_000_000
+SLICE_EXCESS = 4
 
 
 # --- dated snapshots -------------------------------------------------------
@@ -65,18 +66,9 @@ def _seconds(df: DataFrame, time: str) -> Column:
     return days
 
 
-def slice_seconds(df: DataFrame, time: str, slice_rows: int = SLICE_ROWS) -> int:
-    """A slice length with about ``slice_rows`` rows in each slice, were all rows of one key."""
-    at = _seconds(df, time)
-    row = df.agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n")).first()
-    if not row["n"]:
-        return DAY_SECONDS
-    return max(1, (row["last"] - row["first"] + 1) * slice_rows // row["n"])
-
-
 @dataclass(frozen=True)
 class _Sliced:
-    """Rows with a ``_slice`` of the time line, in which alone they are sorted."""
+    """Rows with the ``_slice`` of their key's time line in which they are sorted."""
 
     rows: DataFrame
     keys: tuple[str, ...]
@@ -108,8 +100,24 @@ class _Sliced:
         )
 
 
-def _slice(df: DataFrame, keys: Sequence[str], time: str, seconds: int) -> _Sliced:
-    return _Sliced(df.withColumn("_slice", F.floor(_seconds(df, time) / seconds)), tuple(keys))
+def _slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int) -> _Sliced:
+    """Cut each key's rows, which run along ``order``, into slices of about ``slice_rows``.
+
+    Slices of equal time do, and need no shuffle, unless some key has far too
+    many rows in one. Then the rows are cut at sampled points of their order,
+    which holds however they lie.
+    """
+    at = _seconds(df, order[0])
+    row = df.agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n")).first()
+    if row["n"] <= slice_rows:
+        return _Sliced(df.withColumn("_slice", F.lit(0).cast("bigint")), tuple(keys))
+    span = (row["last"] or 0) - (row["first"] or 0) + 1
+    by_time = df.withColumn("_slice", F.floor(at / max(1, span * slice_rows // row["n"])))
+    largest = by_time.groupBy(*keys, "_slice").count().agg(F.max("count")).first()[0]
+    if largest <= SLICE_EXCESS * slice_rows:
+        return _Sliced(by_time, tuple(keys))
+    cut = df.repartitionByRange(-(-row["n"] // slice_rows), *keys, *order)
+    return _Sliced(materialize(cut.withColumn("_slice", F.spark_partition_id()), "slices"), tuple(keys))
 
 
 # --- Type-2 intervals ------------------------------------------------------
@@ -132,8 +140,7 @@ def scd2_intervals(
     known = observations.dropna(subset=list(keys)).select(*keys, time, *order, *attributes)
     ordering = [time, *order]
     state = F.struct(*attributes)
-    sliced = _slice(known, keys, time, slice_seconds(known, time, slice_rows))
-    seen = sliced.carry(state, ordering, "_before", inclusive=False, backward=False)
+    seen = _slice(known, keys, ordering, slice_rows).carry(state, ordering, "_before", inclusive=False, backward=False)
     changes = seen.where(~F.col("_before").eqNullSafe(state)).drop("_before")
     changes = materialize(changes, "changes")
     ended = _Sliced(changes, tuple(keys)).carry(
@@ -167,6 +174,7 @@ def scd2_join(
         F.lit(1).alias("_kind"),
         F.lit(True).alias("_open"),
         F.lit(None).cast(dimension.schema[end].dataType).alias("_end"),
+        F.xxhash64(*facts.columns).alias("_tie"),
         F.struct(*[c for c in facts.columns if c not in keys]).alias("_fact"),
     ).unionByName(
         # At equal starts the interval that ends last, or not at all, comes last.
@@ -176,14 +184,16 @@ def scd2_join(
             F.lit(0).alias("_kind"),
             F.col(end).isNull().alias("_open"),
             F.col(end).alias("_end"),
+            F.lit(0).cast("bigint").alias("_tie"),
             F.struct(*attributes).alias("_interval"),
         ),
         allowMissingColumns=True,
     )
-    sliced = _slice(events, keys, "_at", slice_seconds(events, "_at", slice_rows))
-    matched = sliced.carry(
-        interval, ["_at", "_kind", "_open", "_end"], "_found", inclusive=True, backward=False
-    ).where(fact.isNotNull())
+    ordering = ["_at", "_kind", "_open", "_end", "_tie"]
+    matched = _slice(events, keys, ordering, slice_rows).carry(
+        interval, ordering, "_found", inclusive=True, backward=False
+    )
+    matched = matched.where(fact.isNotNull())
     found_end = F.col(f"_found.{end}")
     in_effect = F.col("_found").isNotNull() & (found_end.isNull() | (F.col("_at") < found_end))
     if how == "inner":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from querylens.operators.joins import BROADCAST_BYTES
+from querylens.operators.joins import BROADCAST_BYTES, lookup_join
 from querylens.operators.shares import percent, share_of_total
 from querylens.sources.scratch import materialize
 
@@ -73,7 +73,14 @@ def entity_metrics(totals: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return _present(share_of_total(_with_rates(totals), ["restaurant_id"], SHARES, max_bytes), "restaurant")
 
 
-def attributed_metrics(totals: DataFrame, labels: DataFrame) -> DataFrame:
+def _with_distinct(summed: DataFrame, by: list[str], distinct: DataFrame | None) -> DataFrame:
+    if distinct is None:
+        return summed
+    counted = lookup_join(summed, materialize(distinct, "distinct"), by, null_safe=True)
+    return counted.withColumn("search_query_count", F.col("distinct_queries")).drop("distinct_queries")
+
+
+def attributed_metrics(totals: DataFrame, labels: DataFrame, distinct: DataFrame | None = None) -> DataFrame:
     """Cuisine grain: every cuisine of a restaurant gets the restaurant's full sums.
 
     Both sides are reduced before they meet: the sums to one row per
@@ -84,12 +91,13 @@ def attributed_metrics(totals: DataFrame, labels: DataFrame) -> DataFrame:
     listed = labels.groupBy("restaurant_id", "cuisine").agg(F.count(F.lit(1)).alias("times"))
     times = F.col("times")
     summed = listed.join(by_entity, "restaurant_id").groupBy("cuisine", "search_type").agg(*[F.sum(F.col(c) * times).alias(c) for c in _SUMS])
+    summed = _with_distinct(summed, ["cuisine", "search_type"], distinct)
     return _present(_with_window_shares(_with_rates(summed), Window.partitionBy("cuisine")), "cuisine")
 
 
-def global_metrics(totals: DataFrame) -> DataFrame:
+def global_metrics(totals: DataFrame, distinct: DataFrame | None = None) -> DataFrame:
     """Global grain: one row per search type, from the restaurants so that no cuisine counts twice."""
-    summed = totals.groupBy("search_type").agg(*_sums())
+    summed = _with_distinct(totals.groupBy("search_type").agg(*_sums()), ["search_type"], distinct)
     return _present(_with_window_shares(_with_rates(summed), Window.partitionBy()), "global")
 
 
@@ -98,13 +106,33 @@ def _with_window_shares(df: DataFrame, window: Window) -> DataFrame:
     return df.withColumns({out: percent(F.col(c), F.sum(c).over(window)) for out, c in SHARES.items()})
 
 
-def unified_metrics(classified: DataFrame, labels: DataFrame) -> DataFrame:
-    """All three grains in one table, told apart by ``grain``."""
+def distinct_by_cuisine(classified: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct queries per cuisine and search type, over all its restaurants."""
+    owners = materialize(labels.select("restaurant_id", "cuisine").distinct(), "owners")
+    queries = classified.select("restaurant_id", "search_type", "query_raw").distinct()
+    owned = lookup_join(queries, owners, ["restaurant_id"], how="inner")
+    return owned.groupBy("cuisine", "search_type").agg(F.count_distinct("query_raw").alias("distinct_queries"))
+
+
+def distinct_overall(classified: DataFrame) -> DataFrame:
+    """Distinct queries per search type."""
+    return classified.groupBy("search_type").agg(F.count_distinct("query_raw").alias("distinct_queries"))
+
+
+def unified_metrics(classified: DataFrame, labels: DataFrame, exact_distinct: bool = False) -> DataFrame:
+    """All three grains in one table, told apart by ``grain``.
+
+    ``search_query_count`` of a cuisine, and overall, adds up the distinct
+    queries of the restaurants. With ``exact_distinct`` a query that several
+    of them have counts once.
+    """
     totals = materialize(entity_totals(classified), "totals")
+    by_cuisine = distinct_by_cuisine(classified, labels) if exact_distinct else None
+    overall = distinct_overall(classified) if exact_distinct else None
     return (
         entity_metrics(totals)
-        .unionByName(attributed_metrics(totals, labels))
-        .unionByName(global_metrics(totals))
+        .unionByName(attributed_metrics(totals, labels, by_cuisine))
+        .unionByName(global_metrics(totals, overall))
     )
 
 

@@ -52,11 +52,13 @@ class Build:
 
 
 def metrics_from_queries(
-    queries: DataFrame, labels: DataFrame, rules: Sequence[Rule] = OVERRIDES
+    queries: DataFrame, labels: DataFrame, rules: Sequence[Rule] = OVERRIDES, exact_distinct: bool = False
 ) -> DataFrame:
     """Unified metrics straight from flat queries; each distinct query is classified once."""
     classified = classify_queries(collapse_queries(queries), label_names(labels), rules, with_score=False)
-    return unified_metrics(classified, labels)
+    if exact_distinct:
+        classified = materialize(classified, "classified")
+    return unified_metrics(classified, labels, exact_distinct)
 
 
 def build(search_export: DataFrame, label_export: DataFrame, rules: Sequence[Rule] = OVERRIDES) -> Build:

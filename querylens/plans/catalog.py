@@ -18,9 +18,10 @@ from querylens.operators.residual import ctr_residual
 from querylens.operators.shares import share_of_total
 from querylens.plans import shapes
 from querylens.plans.build import build, metrics_from_queries
+from querylens.sources.contracts import read_label_export, read_search_export
 from querylens.sources.incremental import LoadTable, incremental_read, latest_per_key, upsert
 from querylens.sources.scratch import materialize, scratch_path
-from querylens.sources.sinks import write_clustered
+from querylens.sources.sinks import write_clustered, write_full
 from querylens.streaming.upsert import read_file_stream, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,6 +161,11 @@ def q_unified_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_rows(unified(spark, sf_dir))
 
 
+def q_exact_distinct_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    exact = metrics_from_queries(flat_queries(spark, sf_dir), labels(spark, sf_dir), exact_distinct=True)
+    return metric_rows(exact.where("grain <> 'restaurant'"))
+
+
 def q_restaurant_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_rows(metrics.restaurant_metrics(unified(spark, sf_dir)))
 
@@ -248,6 +254,28 @@ def q_compact_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(_arrived(spark, sf_dir).compact(scratch_path(spark, "compacted")).current())
 
 
+def q_load_search_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw export loaded in three steps, the latest document of each restaurant kept, then flattened."""
+    raw = scratch_path(spark, "search_export")
+    write_full(shapes.search_export(spark, sf_dir), raw)
+    source = read_search_export(spark, raw)
+    table = LoadTable(spark, scratch_path(spark, "loaded"), ["restaurant_id"], ["_updated_at"])
+    newest = source.agg(F.max("_updated_at")).first()[0]
+    for share in (3, 2, 1):
+        step = F.lit(shapes.LOADED).cast("timestamp")
+        until = step + (F.lit(newest) - step) / share
+        table.merge_new(source.where(F.col("_updated_at") <= until), "_updated_at")
+    return flatten_search_export(table.current())
+
+
+def q_refresh_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label export written over an earlier copy, read back and flattened."""
+    path = scratch_path(spark, "label_export")
+    for _ in range(2):
+        write_full(shapes.label_export(spark, sf_dir), path)
+    return flatten_labels(read_label_export(spark, path))
+
+
 def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A pattern, so that the table may be one file as well as a folder of files.
     stream = read_file_stream(spark, f"{sf_dir}/events.parque[t]", events(spark, sf_dir).schema)
@@ -347,6 +375,7 @@ QUERIES: dict[str, Query] = {
     "attributed_metrics": q_attributed_metrics,
     "global_metrics": q_global_metrics,
     "unified_metrics": q_unified_metrics,
+    "exact_distinct_metrics": q_exact_distinct_metrics,
     "restaurant_metrics": q_restaurant_metrics,
     "cuisine_metrics": q_cuisine_metrics,
     "ctr_residual": q_ctr_residual,
@@ -357,6 +386,8 @@ QUERIES: dict[str, Query] = {
     "latest_upsert": q_latest_upsert,
     "merge_loads": q_merge_loads,
     "compact_loads": q_compact_loads,
+    "load_search_export": q_load_search_export,
+    "refresh_labels": q_refresh_labels,
     "stream_upsert": q_stream_upsert,
     "snapshot_in_effect": q_snapshot_in_effect,
     "scd2_intervals": q_scd2_intervals,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from querylens.plans.shapes import RULE_CASES
+from querylens.plans.shapes import ORDERS_PER_DOCUMENT, RULE_CASES
 
 
 def _pct(part: str, whole: str) -> str:
@@ -31,7 +31,7 @@ brands AS (
 
 _FLAT = f"""{_BRANDS},
 flat AS (
-  SELECT l_suppkey AS restaurant_id, domain, {_MEASURES},
+  SELECT l_suppkey AS restaurant_id, domain, l_orderkey // {ORDERS_PER_DOCUMENT} AS chunk, {_MEASURES},
          CASE l_linenumber
            WHEN 1 THEN p_name WHEN 2 THEN p_name || ' near me' WHEN 3 THEN p_name || ' menu' WHEN 4 THEN p_name || ' $20'
            WHEN 5 THEN split_part(p_name, ' ', 2) || 's'
@@ -152,6 +152,19 @@ unified AS (
   UNION ALL {_grain("cuisine", "NULL", "cuisine", "NULL", "agg_label", "PARTITION BY cuisine")}
   UNION ALL {_grain("global", "NULL", "NULL", "NULL", "agg_global", "")})"""
 
+_EXACT = _UNIFIED.replace(
+    f"cuisine, search_type, {_ROLL_UP} FROM agg_entity JOIN labels USING (restaurant_id) GROUP BY ALL",
+    f"""cuisine, search_type, {_ROLL_UP.replace("sum(search_query_count)", "max(n_queries)")}
+  FROM agg_entity JOIN labels USING (restaurant_id) JOIN (
+    SELECT cuisine, search_type, count(DISTINCT query_raw) AS n_queries
+    FROM classified JOIN labels USING (restaurant_id) GROUP BY ALL) USING (cuisine, search_type) GROUP BY ALL""",
+).replace(
+    f"search_type, {_ROLL_UP} FROM agg_entity GROUP BY ALL",
+    f"""search_type, {_ROLL_UP.replace("sum(search_query_count)", "max(n_queries)")} FROM agg_entity JOIN (
+    SELECT search_type, count(DISTINCT query_raw) AS n_queries FROM classified GROUP BY ALL) USING (search_type)
+  GROUP BY ALL""",
+)
+
 _METRICS = """search_query_count, total_clicks, total_impressions, ctr, avg_position,
   pct_unique_search_queries, pct_clicks, pct_impressions"""
 
@@ -259,6 +272,7 @@ FROM (SELECT query AS query_raw, domain, count(*) AS n_rows, CAST(sum(clicks) AS
     "attributed_metrics": f"{_UNIFIED} SELECT * FROM unified WHERE grain = 'cuisine'",
     "global_metrics": f"{_UNIFIED} SELECT * FROM unified WHERE grain = 'global'",
     "unified_metrics": f"{_UNIFIED} SELECT * FROM unified",
+    "exact_distinct_metrics": f"{_EXACT} SELECT * FROM unified WHERE grain <> 'restaurant'",
     "restaurant_metrics": f"""{_UNIFIED}
 SELECT restaurant_id, domain, search_type, {_METRICS} FROM unified WHERE grain = 'restaurant'""",
     "cuisine_metrics": f"{_UNIFIED} SELECT cuisine, search_type, {_METRICS} FROM unified WHERE grain = 'cuisine'",
@@ -293,6 +307,9 @@ FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01
     "latest_upsert": _LATEST,
     "merge_loads": _LATEST,
     "compact_loads": _LATEST,
+    "load_search_export": f"""WITH {_FLAT}
+SELECT {_FLAT_COLUMNS} FROM flat QUALIFY chunk = max(chunk) OVER (PARTITION BY restaurant_id)""",
+    "refresh_labels": f"WITH {_BRANDS}, {_LABELS} SELECT restaurant_id, cuisine FROM labels",
     "stream_upsert": _LATEST,
     "snapshot_in_effect": """
 WITH state AS (

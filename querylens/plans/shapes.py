@@ -10,6 +10,7 @@ from querylens.sources.scratch import materialize
 
 # Orders whose lines share one export document: bounds a document's size whatever the data's.
 ORDERS_PER_DOCUMENT = 4096
+LOADED = "2024-01-01"
 
 # Test inputs, queries and domains in which each rule of the classification decides some pair.
 RULE_CASES = (
@@ -141,7 +142,7 @@ def search_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat queries packed into JSON documents, several per restaurant."""
     record = F.struct(F.array("query").alias("keys"), "clicks", "ctr", "impressions", "position")
     first_order = F.floor(F.col("l_orderkey") / ORDERS_PER_DOCUMENT)
-    loaded = F.lit("2024-01-01").cast("timestamp")
+    loaded = F.lit(LOADED).cast("timestamp")
     return (
         search_queries(spark, sf_dir)
         .groupBy("restaurant_id", "domain", first_order.alias("chunk"))

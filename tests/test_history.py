@@ -92,14 +92,27 @@ def test_closed_intervals(spark):
     assert history.scd2_join(facts, dimension, ["k"], "at").count() == 4
 
 
-def test_slices_hold_the_asked_number(spark):
+def largest_slice(df, order, slice_rows):
+    sliced = history._slice(df, ["k"], order, slice_rows).rows
+    return sliced.groupBy("k", "_slice").count().agg(F.max("count")).first()[0]
+
+
+def test_even_rows_are_cut_by_time(spark, monkeypatch):
+    monkeypatch.setattr(history, "materialize", None)
     df = spark.range(10_000).select(
         F.lit(1).alias("k"), (F.lit(DAY0) + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("at")
     )
-    seconds = history.slice_seconds(df, "at", 100)
-    sliced = history._slice(df, ["k"], "at", seconds).rows
-    largest = sliced.groupBy("k", "_slice").count().agg(F.max("count")).first()[0]
-    assert largest <= 101
+    assert largest_slice(df, ["at"], 100) <= 101
+
+
+def test_bursts_are_cut_by_rank(spark):
+    # One key has nearly all rows, all but one of them in the same second.
+    late = F.when(F.col("id") == 0, F.lit(DAY0 + datetime.timedelta(days=900))).otherwise(F.lit(DAY0))
+    df = spark.range(10_000).select(F.lit(1).alias("k"), late.alias("at"), "id")
+    assert largest_slice(df, ["at", "id"], 500) <= 2000
+    assert history.scd2_intervals(
+        df.withColumn("v", F.col("id") % 2), ["k"], "at", ["v"], order=["id"], slice_rows=500
+    ).count() == 10_000
 
 
 def test_snapshots(spark, tmp_path):

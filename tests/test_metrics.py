@@ -161,3 +161,21 @@ def test_types(unified):
     assert kinds["restaurant_id"] == kinds["cuisine"] == kinds["domain"] == "string"
     assert kinds["search_query_count"] == kinds["total_clicks"] == "bigint"
     assert kinds["ctr"] == kinds["avg_position"] == kinds["pct_clicks"] == "double"
+
+
+def test_exact_distinct(classified, labels, unified):
+    exact = {
+        (r["grain"], r["cuisine"], r["search_type"]): r["search_query_count"]
+        for r in metrics.unified_metrics(classified, labels, exact_distinct=True).collect()
+        if r["grain"] != "restaurant"
+    }
+    wanted = defaultdict(set)
+    for r, _, _, _, _, query, kind in sample():
+        wanted["global", None, kind].add(query)
+        for owner, cuisine in LABELS:
+            if owner is not None and owner == r:
+                wanted["cuisine", cuisine, kind].add(query)
+    assert exact == {k: len(v - {None}) for k, v in wanted.items()}
+    assert {(r["grain"], r["cuisine"], r["search_type"]) for r in unified.where("grain <> 'restaurant'").collect()} == set(
+        exact
+    )
