@@ -67,7 +67,7 @@ def _match_positions(a: Column, b: Column) -> Column:
 def jaro(a: Column, b: Column) -> Column:
     def score(matched: Column) -> Column:
         m = F.size(matched)
-        pairs = F.zip_with(matched, F.array_sort(matched), lambda x, y: _char(b, x) != _char(b, y))
+        pairs = F.zip_with(matched, F.sort_array(matched), lambda x, y: _char(b, x) != _char(b, y))
         moved = F.floor(F.size(F.filter(pairs, lambda differs: differs)) / 2)
         mean = (m / F.length(a) + m / F.length(b) + (m - moved) / m) / 3
         return F.when(m == 0, F.lit(0.0)).otherwise(mean)
