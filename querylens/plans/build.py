@@ -24,7 +24,7 @@ from querylens.sources.sinks import write_clustered, write_full
 
 @dataclass(frozen=True)
 class Build:
-    """The tables of one run, each a DataFrame that has not been written."""
+    """The tables of one run."""
 
     search_export: DataFrame
     label_export: DataFrame
@@ -43,13 +43,6 @@ class Build:
     def check(self) -> DataFrame:
         return quality_report(self.tables())
 
-    def write(self, root: str, names: Sequence[str] | None = None) -> None:
-        """Write the named tables, or all, under ``root``; the unified one clustered."""
-        for name, df in self.tables().items():
-            if names is None or name in names:
-                write = write_clustered if name == "unified_metrics" else write_full
-                write(df, f"{root.rstrip('/')}/{name}")
-
 
 def metrics_from_queries(
     queries: DataFrame, labels: DataFrame, rules: Sequence[Rule] = OVERRIDES, exact_distinct: bool = False
@@ -61,25 +54,43 @@ def metrics_from_queries(
     return unified_metrics(classified, labels, exact_distinct)
 
 
-def build(search_export: DataFrame, label_export: DataFrame, rules: Sequence[Rule] = OVERRIDES) -> Build:
+def build(
+    search_export: DataFrame, label_export: DataFrame, rules: Sequence[Rule] = OVERRIDES, root: str | None = None
+) -> Build:
     """All tables from the raw exports.
 
-    The unified metrics are written to scratch, since three tables and the
-    checks read them.
+    With ``root`` each table is written under it, the unified one clustered,
+    and the next is computed from what was written, so that documents are
+    parsed and queries classified once. Without it only the unified metrics
+    are stored, in scratch, for the three tables and the checks that read
+    them; classified queries remain a plan.
     """
-    queries = flatten_search_export(search_export)
-    labels = flatten_labels(label_export)
-    names = label_names(labels)
-    unified = materialize(metrics_from_queries(queries, labels, rules), "unified")
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        if not root:
+            return df
+        path = f"{root.rstrip('/')}/{name}"
+        write = write_clustered if name == "unified_metrics" else write_full
+        write(df, path)
+        return df.sparkSession.read.parquet(path).select(*df.columns)
+
+    queries = keep("queries", flatten_search_export(search_export))
+    labels = keep("labels", flatten_labels(label_export))
+    names = keep("label_names", label_names(labels))
+    classified = keep("classified_queries", classify_queries(queries, names, rules))
+    if root:
+        unified = keep("unified_metrics", unified_metrics(classified, labels))
+    else:
+        unified = materialize(metrics_from_queries(queries, labels, rules), "unified")
     return Build(
         search_export=search_export,
         label_export=label_export,
         queries=queries,
         labels=labels,
         label_names=names,
-        classified_queries=classify_queries(queries, names, rules),
+        classified_queries=classified,
         unified_metrics=unified,
-        restaurant_metrics=restaurant_metrics(unified),
-        cuisine_metrics=cuisine_metrics(unified),
-        ctr_residual=ctr_residual(unified),
+        restaurant_metrics=keep("restaurant_metrics", restaurant_metrics(unified)),
+        cuisine_metrics=keep("cuisine_metrics", cuisine_metrics(unified)),
+        ctr_residual=keep("ctr_residual", ctr_residual(unified)),
     )

@@ -192,6 +192,17 @@ def q_build_from_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_rows(built.unified_metrics)
 
 
+def q_full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "build")
+    built = build(shapes.search_export(spark, sf_dir), shapes.label_export(spark, sf_dir), root=root)
+    return metric_rows(built.restaurant_metrics)
+
+
+def q_declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "build")
+    return build(shapes.search_export(spark, sf_dir), shapes.label_export(spark, sf_dir), root=root).check()
+
+
 def q_clustered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "unified_metrics")
     write_clustered(unified(spark, sf_dir), path)
@@ -380,6 +391,8 @@ QUERIES: dict[str, Query] = {
     "cuisine_metrics": q_cuisine_metrics,
     "ctr_residual": q_ctr_residual,
     "build_from_exports": q_build_from_exports,
+    "full_build": q_full_build,
+    "declared_checks": q_declared_checks,
     "clustered_table": q_clustered_table,
     "share_of_total": q_share_of_total,
     "incremental_read": q_incremental_read,

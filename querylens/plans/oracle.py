@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from querylens.functions import text
 from querylens.functions.brands import EXCLUSIONS, GENERIC_QUERIES, OVERRIDES, Rule
+from querylens.operators.quality import CHECKS
 from querylens.plans.shapes import ORDERS_PER_DOCUMENT, RULE_CASES
 
 
@@ -182,6 +183,26 @@ _METRICS = """search_query_count, total_clicks, total_impressions, ctr, avg_posi
   pct_unique_search_queries, pct_clicks, pct_impressions"""
 
 
+_RESIDUAL = """SELECT * FROM (WITH
+entity AS (
+  SELECT restaurant_id, round(u.exact_position) AS bin, u.exact_position, ctr, total_impressions AS n, total_clicks AS c
+  FROM (SELECT un.*, a.avg_position AS exact_position FROM unified un
+        JOIN entity_sums a ON un.restaurant_id = CAST(a.restaurant_id AS VARCHAR)
+         AND un.domain = a.domain AND un.search_type = a.search_type
+        WHERE grain = 'restaurant' AND un.search_type = 'Unbranded' AND un.total_impressions > 0) u),
+expected AS (
+  SELECT *, 100.0 * CAST(sum(c) OVER (PARTITION BY bin) - c AS DOUBLE)
+            / nullif(CAST(sum(n) OVER (PARTITION BY bin) - n AS DOUBLE), 0) AS e FROM entity)
+SELECT restaurant_id, CAST(bin AS BIGINT) AS pos_bin, round(exact_position, 6) AS avg_position, ctr,
+       round(e, 6) AS expected_ctr, round(ctr - e, 6) + 0.0 AS position_ctr_residual,
+       round(greatest(0, e - ctr), 6) AS nboi_click_gap_pct,
+       round(greatest(0, e - ctr) / 100 * n, 6) AS nboi_click_opportunity,
+       n AS total_impressions, c AS total_clicks,
+       CASE WHEN n * (e / 100) * (1 - e / 100) > 0
+            THEN round((c - n * (e / 100)) / sqrt(n * (e / 100) * (1 - e / 100)), 6) + 0.0 END AS residual_z_score
+FROM expected WHERE e IS NOT NULL)"""
+
+
 def _flag(name: str, test: str) -> str:
     return (
         f"WITH {_FLAT}, {_LABELS}, {_RULES}, {_ALL_NAMES}, {_PAIRS} "
@@ -255,6 +276,37 @@ broken_classified AS (
 {" UNION ALL ".join(parts)}"""
 
 
+def _declared() -> str:
+    """The declared checks, counted over this file's versions of the tables."""
+    sources = {
+        "search_export": "documents_packed",
+        "label_export": "lists_packed",
+        "queries": "flat",
+        "label_names": "names",
+        "classified_queries": "classified",
+        "restaurant_metrics": "(SELECT * FROM unified WHERE grain = 'restaurant')",
+        "cuisine_metrics": "(SELECT * FROM unified WHERE grain = 'cuisine')",
+        "unified_metrics": "unified",
+        "ctr_residual": "residual",
+    }
+    parts = []
+    for check in CHECKS:
+        source, column = sources[check.table], check.column
+        if check.kind == "unique":
+            source = f"(SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+            count = "count(*)"
+        elif check.kind == "not_null":
+            count = f"count(*) FILTER ({column} IS NULL AND {check.where or 'true'})"
+        else:
+            count = f"count(*) FILTER (NOT list_contains({_list(check.values)}, {column}))"
+        name = check.kind + (f" where {check.where}" if check.where else "")
+        parts.append(_check(check.table, column, name.replace("'", "''"), count, source))
+    return f"""{_UNIFIED}, residual AS ({_RESIDUAL}),
+documents_packed AS (SELECT DISTINCT restaurant_id, domain, chunk AS data, chunk AS _updated_at FROM flat),
+lists_packed AS (SELECT restaurant_id, list(cuisine) AS cuisines FROM labels GROUP BY ALL)
+{" UNION ALL ".join(parts)}"""
+
+
 _FLAT_COLUMNS = "restaurant_id, domain, clicks, ctr, impressions, position, query"
 
 ORACLE_SQL: dict[str, str] = {
@@ -289,25 +341,11 @@ FROM (SELECT query AS query_raw, domain, count(*) AS n_rows, CAST(sum(clicks) AS
     "restaurant_metrics": f"""{_UNIFIED}
 SELECT restaurant_id, domain, search_type, {_METRICS} FROM unified WHERE grain = 'restaurant'""",
     "cuisine_metrics": f"{_UNIFIED} SELECT cuisine, search_type, {_METRICS} FROM unified WHERE grain = 'cuisine'",
-    "ctr_residual": f"""{_UNIFIED},
-entity AS (
-  SELECT restaurant_id, round(u.exact_position) AS bin, u.exact_position, ctr, total_impressions AS n, total_clicks AS c
-  FROM (SELECT un.*, a.avg_position AS exact_position FROM unified un
-        JOIN entity_sums a ON un.restaurant_id = CAST(a.restaurant_id AS VARCHAR)
-         AND un.domain = a.domain AND un.search_type = a.search_type
-        WHERE grain = 'restaurant' AND un.search_type = 'Unbranded' AND un.total_impressions > 0) u),
-expected AS (
-  SELECT *, 100.0 * CAST(sum(c) OVER (PARTITION BY bin) - c AS DOUBLE)
-            / nullif(CAST(sum(n) OVER (PARTITION BY bin) - n AS DOUBLE), 0) AS e FROM entity)
-SELECT restaurant_id, CAST(bin AS BIGINT) AS pos_bin, round(exact_position, 6) AS avg_position, ctr,
-       round(e, 6) AS expected_ctr, round(ctr - e, 6) + 0.0 AS position_ctr_residual,
-       round(greatest(0, e - ctr), 6) AS nboi_click_gap_pct,
-       round(greatest(0, e - ctr) / 100 * n, 6) AS nboi_click_opportunity,
-       n AS total_impressions, c AS total_clicks,
-       CASE WHEN n * (e / 100) * (1 - e / 100) > 0
-            THEN round((c - n * (e / 100)) / sqrt(n * (e / 100) * (1 - e / 100)), 6) + 0.0 END AS residual_z_score
-FROM expected WHERE e IS NOT NULL""",
+    "ctr_residual": f"{_UNIFIED} {_RESIDUAL}",
     "build_from_exports": f"{_UNIFIED} SELECT * FROM unified",
+    "full_build": f"""{_UNIFIED}
+SELECT restaurant_id, domain, search_type, {_METRICS} FROM unified WHERE grain = 'restaurant'""",
+    "declared_checks": _declared(),
     "clustered_table": f"{_UNIFIED} SELECT * FROM unified WHERE grain = 'restaurant' AND search_type = 'Branded'",
     "share_of_total": f"""WITH lines AS (
   SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, CAST(floor(l_quantity) AS BIGINT) AS quantity FROM lineitem)

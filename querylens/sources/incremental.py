@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from querylens.operators.joins import BROADCAST_BYTES, measured_bytes
 from querylens.sources.scratch import materialize
@@ -34,6 +35,23 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return last.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns])
 
 
+def reduce_to_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` for wide rows, few of which share a key.
+
+    Only the keys are shuffled to find those that occur more than once. If
+    they are few, the rows of all other keys stay where they are.
+    """
+    names = {c: f"_again_{c}" for c in keys}
+    again = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
+    again = materialize(again.withColumnsRenamed(names), "again")
+    if measured_bytes(again) > BROADCAST_BYTES:
+        return latest_per_key(df, keys, order)
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(names[c])) for c in keys])
+    once = df.join(F.broadcast(again), same, "left_anti")
+    several = df.join(F.broadcast(again), same, "left_semi")
+    return once.unionByName(latest_per_key(several, keys, order))
+
+
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` with the rows of ``delta`` replacing those of the same key, and the new ones added.
 
@@ -70,7 +88,7 @@ class LoadTable:
     def merge(self, delta: DataFrame, load_id: str) -> None:
         """Add a load, reduced to the latest row per key."""
         if load_id not in self.loads():
-            rows = latest_per_key(delta, self.keys, self.order)
+            rows = reduce_to_latest(delta, self.keys, self.order)
             rows.write.mode("overwrite").parquet(f"{self.path}/load={load_id}")
 
     def merge_new(self, source: DataFrame, updated: str) -> None:

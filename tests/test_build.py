@@ -17,19 +17,25 @@ def document(*rows):
 
 
 @pytest.fixture(scope="module")
-def built(spark):
-    exports = [
+def exports(spark):
+    rows = [
         (1, "dadospizzaok.com", document(("pizza dados", 3, 0.3, 10, 1.5), ("sushi", 0, 0.0, 30, 9.0))),
         (1, "dadospizzaok.com", document(("pizza dados", 1, 0.1, 10, 2.5))),
         (2, "thaibasil.com", document(("thai", 2, 0.1, 20, 8.6), ("thai basil", 5, 0.5, 10, 1.0))),
         (3, "empty.com", "bad{"),
     ]
-    raw = spark.createDataFrame(exports, "restaurant_id int, domain string, data string")
+    raw = spark.createDataFrame(rows, "restaurant_id int, domain string, data string")
     raw = raw.selectExpr("*", f"timestamp'{T}' _updated_at", f"timestamp'{T}' _created_at", "'ok' status")
     labels = spark.createDataFrame(
         [(1, '["Pizza"]'), (2, '["thai","Pizza"]'), (3, "[]")], "restaurant_id int, cuisines string"
     )
-    return build(raw, labels)
+    return raw, labels
+
+
+@pytest.fixture(scope="module", params=["planned", "written"])
+def built(request, exports, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("build")) if request.param == "written" else None
+    return build(*exports, root=root)
 
 
 def test_classes(built):
@@ -70,8 +76,14 @@ def test_checks_pass(built):
     assert built.check().count() == 36
 
 
-def test_write(built, spark, tmp_path):
-    built.write(str(tmp_path), ["unified_metrics", "cuisine_metrics"])
+def test_written_tables(exports, spark, tmp_path):
+    built = build(*exports, root=str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/unified_metrics/grain=global").count() == 2
     assert spark.read.parquet(f"{tmp_path}/cuisine_metrics").count() == 4
-    assert not (tmp_path / "queries").exists()
+    planned = build(*exports)
+    for name, df in built.tables().items():
+        other = planned.tables()[name]
+        assert df.schema.simpleString() == other.schema.simpleString()
+        assert sorted(map(str, df.collect())) == sorted(map(str, other.collect()))
+    build(*exports, root=str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/queries").count() == 5

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from querylens.sources import incremental
-from querylens.sources.incremental import LoadTable, incremental_read, latest_per_key, upsert
+from querylens.sources.incremental import LoadTable, incremental_read, latest_per_key, reduce_to_latest, upsert
 from querylens.streaming.upsert import read_file_stream, stream_upsert
 
 SCHEMA = "k bigint, at timestamp, data string"
@@ -53,11 +53,27 @@ def test_high_water_reaches_the_scan(spark, tmp_path, kind):
     assert "GreaterThan(at" in delta._jdf.queryExecution().executedPlan().toString()
 
 
-def test_latest_per_key(spark):
-    rows = frame(spark, (1, 1, "old"), (1, 3, "new"), (1, 2, "mid"), (2, 1, "a"), (2, 1, "b"), (None, 1, "n"))
-    assert latest_per_key(rows, ["k"], ["at"]).columns == rows.columns
-    kept = {(r["k"], r["data"]) for r in latest_per_key(rows, ["k"], ["at"]).collect()}
-    assert kept == {(1, "new"), (2, "b"), (None, "n")}
+LATEST = [(1, 1, "old"), (1, 3, "new"), (1, 2, "mid"), (2, 1, "a"), (2, 1, "b"), (None, 1, "m"), (None, 1, "n"),
+          (4, 7, "one"), (5, 1, "same"), (5, 1, "same"), (6, None, "x")]
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+@pytest.mark.parametrize("latest", [latest_per_key, reduce_to_latest])
+def test_latest_per_key(spark, monkeypatch, latest, limit):
+    monkeypatch.setattr(incremental, "BROADCAST_BYTES", limit)
+    rows = frame(spark, *LATEST).repartition(3)
+    reduced = latest(rows, ["k"], ["at"])
+    assert reduced.columns == rows.columns
+    kept = sorted((str(r["k"]), r["data"]) for r in reduced.collect())
+    assert kept == [("1", "new"), ("2", "b"), ("4", "one"), ("5", "same"), ("6", "x"), ("None", "n")]
+
+
+def test_rows_of_single_keys_are_not_moved(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(50).selectExpr("id k", "current_timestamp() at", "'x' data").write.parquet(path)
+    plan = reduce_to_latest(spark.read.parquet(path), ["k"], ["at"])._jdf.queryExecution().executedPlan()
+    anti = plan.toString().split("LeftAnti")[1].split("SortAggregate")[0]
+    assert "FileScan" in anti and "Exchange hashpartitioning" not in anti
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 0])
