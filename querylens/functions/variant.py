@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# A parsed document may take 128 MiB; longer text goes through the streaming reader.
-VARIANT_TEXT_BYTES = 96 << 20
+# A variant may take 128 MiB, and takes at most three times its text. Longer documents are
+# read with each of their records as a variant.
+VARIANT_TEXT_BYTES = 32 << 20
 
 
-def parse_document(text: Column) -> Column:
-    """The document as the first element of a parsed array; NULL for malformed text.
+def bracketed(text: Column) -> Column:
+    """The document as the only element of an array, which makes text after its end malformed."""
+    return F.concat(F.lit("["), text, F.lit("]"))
+
 
-    The brackets make text after the end of the document count as malformed.
-    """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+def parse_document(text: Column) -> Column:
+    """The bracketed document, to be reached by ``$[0]``; NULL for malformed text."""
+    return F.try_parse_json(bracketed(text))
 
 
 def elements(document: Column, path: str) -> Column:
@@ -24,6 +27,16 @@ def elements(document: Column, path: str) -> Column:
     return F.when(single, F.coalesce(array, members))
 
 
+def long_elements(text: Column, field: str) -> Column:
+    """``elements`` of the document's ``field``, without a variant of the whole document."""
+
+    def read(kind: str) -> Column:
+        documents = F.from_json(bracketed(text), f"array<struct<{field}:{kind}>>")
+        return F.when(F.size(documents) == 1, F.get(documents, F.lit(0))[field])
+
+    return F.coalesce(read("array<variant>"), F.map_values(read("map<string,variant>")))
+
+
 def variant_bigint(value: Column, path: str) -> Column:
     """A whole number, rounding fractions half up and reading numeric strings."""
     return F.try_variant_get(value, path, "decimal(38,0)").cast("bigint")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from querylens.functions.variant import (
     VARIANT_TEXT_BYTES,
     elements,
+    long_elements,
     parse_document,
     variant_bigint,
     variant_double,
@@ -15,11 +16,8 @@ from querylens.functions.variant import (
 
 
 def _records(text: Column) -> Column:
-    # A document too long for one variant is read with each record as its own variant.
-    long = F.from_json(text, "rows array<variant>")["rows"]
-    return F.when(F.octet_length(text) > VARIANT_TEXT_BYTES, long).otherwise(
-        elements(parse_document(text), "$[0].rows")
-    )
+    whole = elements(parse_document(text), "$[0].rows")
+    return F.when(F.octet_length(text) > VARIANT_TEXT_BYTES, long_elements(text, "rows")).otherwise(whole)
 
 
 def flatten_search_export(raw: DataFrame) -> DataFrame:

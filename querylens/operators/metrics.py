@@ -98,7 +98,8 @@ def attributed_metrics(totals: DataFrame, labels: DataFrame, distinct: DataFrame
 def global_metrics(totals: DataFrame, distinct: DataFrame | None = None) -> DataFrame:
     """Global grain: one row per search type, from the restaurants so that no cuisine counts twice."""
     summed = _with_distinct(totals.groupBy("search_type").agg(*_sums()), ["search_type"], distinct)
-    return _present(_with_window_shares(_with_rates(summed), Window.partitionBy()), "global")
+    everything = Window.partitionBy(F.lit("global"))
+    return _present(_with_window_shares(_with_rates(summed), everything), "global")
 
 
 def _with_window_shares(df: DataFrame, window: Window) -> DataFrame:

@@ -219,7 +219,7 @@ def q_share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("quantity"),
     )
     by_supplier = share_of_total(lines, ["l_suppkey"], {"pct_of_supplier": "quantity"})
-    return share_of_total(by_supplier, ["l_returnflag"], {"pct_of_flag": "quantity"})
+    return share_of_total(by_supplier, ["l_returnflag"], {"pct_of_flag": "quantity"}, source=lines)
 
 
 # --- loads -----------------------------------------------------------------
