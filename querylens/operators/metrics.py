@@ -90,7 +90,8 @@ def attributed_metrics(totals: DataFrame, labels: DataFrame, distinct: DataFrame
     by_entity = totals.groupBy("restaurant_id", "search_type").agg(*_sums())
     listed = labels.groupBy("restaurant_id", "cuisine").agg(F.count(F.lit(1)).alias("times"))
     times = F.col("times")
-    summed = listed.join(by_entity, "restaurant_id").groupBy("cuisine", "search_type").agg(*[F.sum(F.col(c) * times).alias(c) for c in _SUMS])
+    expanded = listed.join(by_entity, "restaurant_id")
+    summed = expanded.groupBy("cuisine", "search_type").agg(*[F.sum(F.col(c) * times).alias(c) for c in _SUMS])
     summed = _with_distinct(summed, ["cuisine", "search_type"], distinct)
     return _present(_with_window_shares(_with_rates(summed), Window.partitionBy("cuisine")), "cuisine")
 

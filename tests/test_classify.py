@@ -91,7 +91,8 @@ def test_score_ignores_case(spark, names):
 
 def test_own_rules(spark, names):
     rules = [brands.Rule("sushi%", "%tokyo%")]
-    df = spark.createDataFrame([("best tokyo", "sushibar.com"), ("my pie", "pizzayourway.com")], "query string, domain string")
+    pairs = [("best tokyo", "sushibar.com"), ("my pie", "pizzayourway.com")]
+    df = spark.createDataFrame(pairs, "query string, domain string")
     found = by_pair(classify_queries(df, names, rules=rules), "search_type")
     assert found == {("best tokyo", "sushibar.com"): "Branded", ("my pie", "pizzayourway.com"): "Unbranded"}
 
