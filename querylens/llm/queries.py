@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from querylens.llm import decontaminate, mixing, orc_tokens
+from querylens.llm import dartminhash, decontaminate, mixing, orc_tokens
 from querylens.llm.common import read_table
 from querylens.sources.scratch import scratch_path
 
@@ -42,8 +42,13 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op10_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_orc_tokens": op2_orc_tokens,
     "op4_decontaminate": op4_decontaminate,
     "op9_mix_sources": op9_mix_sources,
+    "op10_dartminhash": op10_dartminhash,
 }
