@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from querylens.llm import dartminhash, decontaminate, mixing, orc_tokens
+from querylens.llm import dartminhash, decontaminate, fingerprint, mixing, orc_tokens
 from querylens.llm.common import read_table
 from querylens.sources.scratch import scratch_path
 
@@ -36,6 +36,31 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprint.with_next(read_table(spark, sf_dir, "documents"))
+    size = F.char_length("text")
+    half = F.floor(size / 2).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), size - half), F.substring(F.col("next_text"), F.lit(1), half))
+    rows = rows.withColumn("edited", edited)
+    rows = rows.withColumn("edited_sketch", fingerprint.sketch(F.col("edited")))
+
+    def likeness(other_text: str, other: str):
+        same = F.col("text") == F.col(other_text)
+        return F.when(same, 1.0).otherwise(fingerprint.resemblance(F.col("sketch"), F.col(other)))
+
+    return rows.select(
+        "doc_id",
+        size.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        likeness("edited", "edited_sketch").alias("near_edited"),
+        likeness("next_text", "next_sketch").alias("near_next"),
+        fingerprint.containment(F.col("sketch"), F.col("edited_sketch")).alias("contained_in_edited"),
+        fingerprint.containment(F.col("sketch"), F.col("next_sketch")).alias("contained_in_next"),
+    )
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(read_table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -49,6 +74,7 @@ def op10_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_orc_tokens": op2_orc_tokens,
     "op4_decontaminate": op4_decontaminate,
+    "op8_fingerprint": op8_fingerprint,
     "op9_mix_sources": op9_mix_sources,
     "op10_dartminhash": op10_dartminhash,
 }
