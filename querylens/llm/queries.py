@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from querylens.llm import dartminhash, decontaminate, fingerprint, mixing, orc_tokens
+from querylens.llm import dartminhash, decontaminate, fingerprint, mixing, orc_tokens, url_filter
 from querylens.llm.common import read_table
 from querylens.sources.scratch import scratch_path
 
@@ -36,6 +36,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages")).drop("url")
+
+
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprint.with_next(read_table(spark, sf_dir, "documents"))
     size = F.char_length("text")
@@ -74,6 +78,7 @@ def op10_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_orc_tokens": op2_orc_tokens,
     "op4_decontaminate": op4_decontaminate,
+    "op7_url_filter": op7_url_filter,
     "op8_fingerprint": op8_fingerprint,
     "op9_mix_sources": op9_mix_sources,
     "op10_dartminhash": op10_dartminhash,
