@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # Words of the operators that compare texts: runs of digits, lower-case letters and anything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+# Texts that vectorised code takes together, and their bytes; one longer text is taken alone.
+CHUNK_TEXTS = 512
+CHUNK_BYTES = 1 << 20
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,6 +59,25 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def _texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column of texts, and where each text begins; NULL is empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+def text_chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The texts of a column in chunks of whole texts: all their bytes, and where each begins."""
+    data, offsets = _texts_of(column)
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1)
+        end = min(end, at + CHUNK_TEXTS, len(column))
+        yield data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
+        at = end
+
+
 def add_columns(
     df: DataFrame, fields: Sequence[T.StructField], compute: Callable[[pa.RecordBatch], Sequence[pa.Array]]
 ) -> DataFrame:

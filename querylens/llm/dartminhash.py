@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from querylens.llm.common import byte_words
+from querylens.llm.common import byte_words, text_chunks
 from querylens.operators.joins import BROADCAST_BYTES, measured_bytes
 from querylens.sources.scratch import materialize
 
@@ -31,7 +31,6 @@ BANDS = 24
 ROWS = 5
 
 _U = np.uint64
-_CHUNK_BYTES = 1 << 20
 _BLANK = 32
 
 
@@ -145,25 +144,6 @@ def dart_signatures(region: np.ndarray, doc: np.ndarray, n_docs: int, k: int) ->
     return found
 
 
-def _texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a column of texts, and where each text begins; NULL is empty."""
-    column = column.cast(pa.large_binary()).fill_null(b"")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    return data, offsets - offsets[0]
-
-
-def _chunks(column: pa.Array):
-    """The texts of a column in chunks of some ``_CHUNK_BYTES``, whole texts each."""
-    data, offsets = _texts_of(column)
-    at = 0
-    while at < len(column):
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _CHUNK_BYTES, "right")) - 1)
-        end = min(end, len(column))
-        yield data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
-        at = end
-
-
 def _set_ids(region: np.ndarray, doc: np.ndarray, n_docs: int) -> list[bytes | None]:
     """A 128-bit hash of each text's weighted set; None for a text without words."""
     size = np.bincount(doc, minlength=n_docs)
@@ -194,7 +174,7 @@ def _with_arrow(df: DataFrame, text: str, fields: list[T.StructField], make) ->
         for batch in batches:
             index = {f.name: i for i, f in enumerate(batch.schema)}
             at = 0
-            for data, offsets in _chunks(batch.column(index[text])):
+            for data, offsets in text_chunks(batch.column(index[text])):
                 part = batch.slice(at, len(offsets) - 1)
                 at += len(offsets) - 1
                 columns = [part.column(index[f.name]) for f in kept]

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from querylens.llm import dartminhash, decontaminate, fingerprint, mixing, orc_tokens, url_filter
-from querylens.llm.common import read_table
+from querylens.llm import dartminhash, decontaminate, fingerprint, langid, mixing, orc_tokens, url_filter
+from querylens.llm.common import fold, read_table
 from querylens.sources.scratch import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +19,14 @@ def token_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return orc_tokens.with_checksum(orc_tokens.read_tokens(spark, path))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    model = langid.fit(docs.where(~held_out).select("text", "lang"))
+    found = langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, read_table(spark, sf_dir, "documents"))
 
@@ -76,6 +84,7 @@ def op10_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_orc_tokens": op2_orc_tokens,
     "op4_decontaminate": op4_decontaminate,
     "op7_url_filter": op7_url_filter,
