@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from querylens.llm import dartminhash, decontaminate, fingerprint, langid, mixing, orc_tokens, url_filter
+from querylens.llm import dartminhash, decontaminate, fingerprint, langid, mixing, orc_tokens, toxicity, url_filter
 from querylens.llm.common import fold, read_table
 from querylens.sources.scratch import scratch_path
 
@@ -44,6 +44,16 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.character_model(docs)
+    weights = toxicity.fit(docs, labels.where(~held_out), model)
+    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model, weights)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages")).drop("url")
 
@@ -87,6 +97,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_orc_tokens": op2_orc_tokens,
     "op4_decontaminate": op4_decontaminate,
+    "op5_toxicity": op5_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_fingerprint": op8_fingerprint,
     "op9_mix_sources": op9_mix_sources,
