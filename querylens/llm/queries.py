@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from querylens.llm import dartminhash, decontaminate, fingerprint, langid, mixing, orc_tokens, toxicity, url_filter
+from querylens.llm import dartminhash, decontaminate, fingerprint, langid, mixing, orc_tokens, pii, toxicity, url_filter
 from querylens.llm.common import fold, read_table
 from querylens.sources.scratch import scratch_path
 
@@ -31,6 +31,13 @@ def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.replace_entities(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_entities = F.coalesce(F.size("entities"), F.lit(0)).cast("long").alias("n_entities")
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("entities", lambda e: e["kind"]))), ",")
+    return rows.select("doc_id", "text", n_entities, kinds.alias("kinds"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_passages(docs, read_table(spark, sf_dir, "benchmark"))
@@ -96,6 +103,7 @@ def op10_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_orc_tokens": op2_orc_tokens,
+    "op3_surrogates": op3_surrogates,
     "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op7_url_filter": op7_url_filter,
