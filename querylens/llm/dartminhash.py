@@ -29,6 +29,8 @@ SIMILARITY = 0.8
 # A pair of similarity 0.8 shares a band with probability 0.99993.
 BANDS = 24
 ROWS = 5
+# Turns of comparing each node with one other of each of its rare regions; they only save work of the last step.
+TURNS = 3
 
 _U = np.uint64
 _BLANK = 32
@@ -280,17 +282,73 @@ def _with_leaders(shared: DataFrame, similarity: float) -> DataFrame:
     return far.select(F.col("leader").alias("a"), F.col("node").alias("b"))
 
 
-def _strangers(shared: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): members of a bucket that aren't connected, neither being its leader, each pair once.
+def _prefixes(shared: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, n, region, left): where nodes of mixed buckets may meet, as a stored table.
 
-    One of the two is outside its leader's group. Those are few once the links
-    with leaders are known, so a bucket's pairs are not written out.
+    Many texts may share a passage, and so a bucket, without being similar. So
+    the pairs of a bucket are not written out. Regions are put in order, rare
+    ones first: similar sets have a region in common among the first ones, the
+    prefix of each, and there enough must be ``left`` in both for the
+    similarity. Regions that only one set has are dropped.
     """
-    others = shared.where("root != leader_root").select("bucket", "node", "root", "n")
-    renamed = others.toDF("bucket", "o_node", "o_root", "o_n")
-    both = shared.where("node != leader").join(renamed, "bucket")
-    far = both.where((F.col("root") != F.col("o_root")) & _sizes_fit("n", "o_n", similarity))
-    return far.select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
+    mixed = shared.where("root != leader_root").select("bucket").distinct()
+    members = shared.join(mixed, "bucket").select("node", "n").distinct()
+    members = materialize(members.join(sets, "node").select("node", "n", "regions"), "strangers")
+    each = members.select("node", F.explode("regions").alias("region"))
+    often = each.groupBy("region").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    ordered = each.join(often, "region").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("often", "region"))).alias("ordered")  # as long as the set itself
+    )
+    ordered = members.select("node", "n").join(ordered, "node")
+    alone = F.col("n") - F.size("ordered")
+    prefix = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
+    ordered = ordered.withColumns({"alone": alone, "first": F.greatest(prefix - alone, F.lit(0)).cast("int")})
+    ordered = ordered.withColumn("ordered", F.slice("ordered", F.lit(1), F.col("first")))
+    found = ordered.select("node", "n", "alone", F.posexplode("ordered").alias("place", "at"))
+    left = F.col("n") - F.col("alone") - F.col("place")
+    return materialize(found.select("node", "n", left.alias("left"), "at.region"), "prefixes")
+
+
+def _meeting(prefixes: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows of ``prefixes`` with their root, and the root most members of the region have, where there are several."""
+    if roots is None:
+        known = prefixes.withColumn("root", F.col("node"))
+    else:
+        known = prefixes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    known = materialize(known, "prefix-roots")
+    groups = known.groupBy("region", "root").agg(F.count(F.lit(1)).alias("members"))
+    largest = groups.groupBy("region").agg(
+        F.max(F.struct("members", "root")).alias("top"), F.count(F.lit(1)).alias("groups")
+    )
+    largest = largest.where("groups > 1").select("region", F.col("top.root").alias("top"))
+    return materialize(known.join(largest, "region"), "meeting")
+
+
+def _may_be_similar(similarity: float) -> Column:
+    needed = (F.col("n") + F.col("o_n")) * (similarity / (1 + similarity)) - 1e-9
+    enough = (F.col("left") >= needed) & (F.col("o_left") >= needed)
+    return (F.col("root") != F.col("o_root")) & _sizes_fit("n", "o_n", similarity) & enough
+
+
+_OTHER = ("region", "o_node", "o_root", "o_n", "o_left")
+
+
+def _each_once(both: DataFrame) -> DataFrame:
+    return both.select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
+
+
+def _with_one_of_each_region(meeting: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """(a, b): each node with one other of each of its regions, another one each turn."""
+    row = F.struct(F.xxhash64("node", "region", F.lit(turn)).alias("draw"), "node", "root", "n", "left")
+    drawn = meeting.groupBy("region").agg(F.min(row).alias("r"))
+    drawn = drawn.select("region", "r.node", "r.root", "r.n", "r.left").toDF(*_OTHER)
+    return _each_once(meeting.join(drawn, "region").where(_may_be_similar(similarity)))
+
+
+def _with_all_of_each_region(meeting: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all that may be similar; one of the two is outside its region's largest group."""
+    others = meeting.where("root != top").select("region", "node", "root", "n", "left").toDF(*_OTHER)
+    return _each_once(meeting.join(others, "region").where(_may_be_similar(similarity)))
 
 
 def _candidate_sets(rows: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame:
@@ -311,9 +369,11 @@ def _candidate_sets(rows: DataFrame, nodes: DataFrame, shared: DataFrame) -> Dat
 def links(nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame | None:
     """(node, root) of all nodes that are linked with another, None if there are none.
 
-    Three rounds: each node with the smallest leader of its buckets, with all
-    its leaders, and with the members that it is still not connected with.
-    Pairs that are connected already are never compared.
+    Each node is compared with the smallest leader of its buckets, then with
+    all its leaders, then with one node of each rare region it shares, in a
+    few turns, and at last with all that may be similar still. Pairs that are
+    connected already are never compared, so little is left for the last step,
+    which makes the result exact whatever the turns before it found.
     """
     bucket = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     first = F.min(F.struct("node", "n")).alias("first")
@@ -324,21 +384,24 @@ def links(nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame | N
         return None
     sets = _candidate_sets(rows, nodes, shared)
     found, roots = None, None
-    for number in range(3):
-        members = _with_roots(shared, roots)
-        if number == 0:
-            pairs = _with_leaders(members, similarity).groupBy("b").agg(F.min("a").alias("a"))
-        elif number == 1:
-            pairs = _with_leaders(members, similarity).distinct()
-        else:
-            pairs = _strangers(materialize(members, "members"), similarity)
-        pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        more = _verified(pairs, sets, similarity)
-        if not more.isEmpty():
-            found = more if found is None else found.unionByName(more)
-            roots = connected(found)
+
+    def compare(pairs: DataFrame) -> bool:
+        """Add the links among ``pairs``; False if there are none."""
+        nonlocal found, roots
+        more = _verified(materialize(pairs, "pairs"), sets, similarity)
+        if more.isEmpty():
+            return False
+        found = more if found is None else found.unionByName(more)
+        roots = connected(found)
+        return True
+
+    compare(_with_leaders(_with_roots(shared, roots), similarity).groupBy("b").agg(F.min("a").alias("a")))
+    compare(_with_leaders(_with_roots(shared, roots), similarity).distinct())
+    prefixes = _prefixes(materialize(_with_roots(shared, roots), "members"), sets, similarity)
+    for turn in range(TURNS):
+        if not compare(_with_one_of_each_region(_meeting(prefixes, roots), similarity, turn)):
+            break
+    compare(_with_all_of_each_region(_meeting(prefixes, roots), similarity))
     return roots
 
 
