@@ -14,20 +14,26 @@ beside them (``files``) holds.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
+from tokenizers import Tokenizer, pre_tokenizers
+
 from querylens.llm.common import add_columns
 
 END_ID = 1
 STRIPE_BYTES = 16 << 20
 ROWS_PER_GROUP = 1000
-# Chunks of text whose ids a worker remembers, and the longest of them.
-REMEMBERED = 300_000
+# Pieces between blanks whose ids a worker remembers, half of them recent ones, and the longest of them.
+REMEMBERED = 1_400_000 // 2
 REMEMBERED_CHARS = 48
+# Texts that are encoded together.
+TEXTS = 4096
 
 _FIELDS = [
     T.StructField("n_tokens", T.LongType()),
@@ -36,51 +42,133 @@ _FIELDS = [
 ]
 
 
-class ChunkEncoder(dict):
-    """Token ids of whole texts by the tokenizers library, which sees each repeated chunk between blanks once.
-
-    A blank never belongs to a token of a tokenizer that drops white space, so
-    the ids of a text are those of its chunks one after the other. ``exact``
-    tells whether the tokenizer is of that kind; whole texts are encoded if not.
-    """
-
-    def __init__(self, path: str):
-        super().__init__()
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.exact = self._drops_blanks()
-        self[""] = b""
-
-    def _drops_blanks(self) -> bool:
-        texts = ["a b", " a  b ", "it 's", "x ́ y", "1 2\n3", "! ?", "<|endoftext|> a"]
-        return all(self._ids(x) == b"".join(self._ids(part) for part in x.split(" ")) for x in texts)
-
-    def _ids(self, text: str) -> bytes:
-        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.array(ids, "<i4").tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self._ids(chunk)
-        if len(chunk) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
-                self.clear()
-                self[""] = b""
-            self[chunk] = ids
-        return ids
+# A word of letters whose lower case is a single letter too, and marks after it that no rule joins with letters.
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_BEFORE_MARKS = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~])"
+_PROBES = ["a b", " a  b ", "it 's", "x \u0301 y", "1 2\n3", "! ?", "<|endoftext|> a", "Ab, cd...", "É ü"]
 
-    def encode(self, text: str) -> np.ndarray:
-        ids = b"".join(map(self.__getitem__, text.split(" "))) if self.exact else self._ids(text)
-        return np.frombuffer(ids, "<i4")
 
+class TextEncoder:
+    """Token ids of whole texts by the tokenizers library, which sees each repeated piece once.
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
+    A tokenizer that drops white space and marks the ends of words gives a
+    text the ids of its pieces between blanks, and a piece of a word and marks
+    the ids of the two. So the words that are new in a batch are encoded in
+    one call and remembered. Whether a tokenizer is of that kind is tried when
+    it is loaded; one that is not encodes whole texts.
+    """
 
-def _encoder(path: str) -> ChunkEncoder:
+    def __init__(self, path: str):
+        self.whole = Tokenizer.from_file(path)
+        vocabulary = self.whole.get_vocab(with_added_tokens=True)
+        self.type = "<u2" if max(vocabulary.values()) < 1 << 16 else "<i4"
+        suffix = getattr(self.whole.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # The same model on words that are clean already.
+        self.plain = Tokenizer(self.whole.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        # What begins a special token; those are looked for before anything else.
+        self.special = "<|"
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.exact = bool(suffix) and self._same_by_pieces()
+
+    def _same_by_pieces(self) -> bool:
+        tried = (_PROBES, [x for x in _PROBES if self.special not in x])
+        starts = all(x.content.startswith(self.special) for x in self.whole.get_added_tokens_decoder().values())
+        return starts and all(self._by_pieces(pa.array(x))[0].tobytes() == b"".join(self._all(x)) for x in tried)
+
+    def _all(self, texts: list[str]) -> list[bytes]:
+        found = self.whole.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, self.type).tobytes() for x in found]
+
+    def _learn_words(self, new: list[str]) -> None:
+        ids = np.array(self.plain.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, self.type)
+        last = np.flatnonzero(self.ends[ids]) + 1
+        if len(last) != len(new):
+            self.known.update(zip(new, self._all(new), strict=True))
+            return
+        raw, size = ids.tobytes(), ids.itemsize
+        places = [0, *(last * size).tolist()]
+        self.known.update((w, raw[a:b]) for w, a, b in zip(new, places, places[1:], strict=False))
+
+    def _learn(self, new: list[str]) -> None:
+        known, match = self.known, _WORD.fullmatch
+        words, rest, made = set(), set(), []
+        for piece in new:
+            if found := match(piece):
+                word, marks = found.groups()
+                word = word.lower()
+                made.append((piece, word, marks))
+                if word not in known:
+                    words.add(word)
+                if marks not in known:
+                    rest.add(marks)
+            else:
+                rest.add(piece)
+        rest = list(rest)
+        known.update(zip(rest, self._all(rest), strict=True))
+        if words:
+            self._learn_words(list(words))
+        for piece, word, marks in made:
+            known[piece] = known[word] + known[marks]
+
+    def _ids_of(self, distinct: list[str]) -> list[bytes]:
+        """The ids of each piece. What isn't used any more is forgotten in the second change of generations."""
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        found = list(map(known.get, distinct))
+        missing = [i for i, x in enumerate(found) if x is None]
+        new = []
+        for i in missing:
+            piece = distinct[i]
+            if piece in older:
+                found[i] = known[piece] = older[piece]
+            else:
+                new.append(i)
+        self._learn([distinct[i] for i in new])
+        for i in new:
+            piece = distinct[i]
+            found[i] = known.pop(piece) if len(piece) > REMEMBERED_CHARS else known[piece]
+        return found
+
+    def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not pc.any(pc.match_substring(texts, self.special)).as_py():
+            # Neither changes any id, and more pieces are alike: a mark after a letter begins a piece of its own.
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), _BEFORE_MARKS, r"\1 \2")
+        lists = pc.split_pattern(texts, " ")
+        pieces = lists.flatten().dictionary_encode()
+        distinct, number = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        found = self._ids_of(distinct)
+        ids = np.frombuffer(b"".join(found), self.type)
+        sizes = np.array(list(map(len, found)), np.int64) // np.dtype(self.type).itemsize
+        before = np.cumsum(sizes) - sizes
+        of_piece = sizes[number]
+        ends = np.concatenate([[0], np.cumsum(of_piece)])
+        flat = ids[np.repeat(before[number] - ends[:-1], of_piece) + np.arange(ends[-1])]
+        edges = lists.offsets.to_numpy().astype(np.int64)
+        return flat, np.diff(ends[edges - edges[0]])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and how many each has."""
+        if self.exact:
+            return self._by_pieces(texts)
+        found = [np.frombuffer(x, self.type) for x in self._all(texts.to_pylist())]
+        return np.concatenate([np.empty(0, self.type), *found]), np.array([len(x) for x in found], np.int64)
+
+
+_ENCODERS: dict[str, TextEncoder] = {}
+
+
+def _encoder(path: str) -> TextEncoder:
     if path not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = ChunkEncoder(path)
+        _ENCODERS[path] = TextEncoder(path)
     return _ENCODERS[path]
 
 
@@ -97,15 +185,13 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = EN
         encoder, start = _encoder(tokenizer), 0
         for batch in batches:
             index = {f.name: i for i, f in enumerate(batch.schema)}
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [encoder.encode(x or "") for x in part.column(index[text]).to_pylist()]
-                end = np.array([end_id], "<i4")
-                lengths = np.array([len(x) + 1 for x in found], "i8")
-                values = np.concatenate([y for x in found for y in (x, end)])
-                offsets = np.concatenate([[0], np.cumsum(lengths)])
-                tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
-                made = [pa.array(lengths), pa.array(start + offsets[:-1]), tokens]
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                ids, lengths = encoder.encode(part.column(index[text]).fill_null(""))
+                values = np.insert(ids.astype(np.int32), np.cumsum(lengths), end_id)
+                offsets = np.concatenate([[0], np.cumsum(lengths + 1)])
+                tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+                made = [pa.array(lengths + 1), pa.array(start + offsets[:-1]), tokens]
                 columns = [part.column(index[f.name]) for f in kept]
                 yield pa.RecordBatch.from_arrays([*columns, *made], names=schema.names)
                 start += int(offsets[-1])
