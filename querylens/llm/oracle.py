@@ -79,7 +79,43 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM p
 """
 
+# The prompt is what both conversations render alike, turn by turn, up to the first turn that differs.
+PREFERENCE = r"""
+WITH last_reply AS (
+    SELECT conv_id, max(turn) AS turn FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+), t AS (
+    SELECT c.conv_id, row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn NULLS FIRST, role, text) AS place,
+        coalesce(role, '') AS role, coalesce(text, '') AS good,
+        CASE WHEN role = 'assistant' AND l.turn IS NOT NULL THEN left(coalesce(text, ''), length(text) // 2)
+             ELSE coalesce(text, '') END AS bad
+    FROM conversations c LEFT JOIN last_reply l ON c.conv_id = l.conv_id AND c.turn = l.turn
+    WHERE c.conv_id IS NOT NULL
+), r AS (
+    SELECT *, '<|' || role || '|>' || chr(10) || good || '<|end|>' || chr(10) AS a,
+        '<|' || role || '|>' || chr(10) || bad || '<|end|>' || chr(10) AS b
+    FROM t
+), f AS (
+    SELECT conv_id, coalesce(min(CASE WHEN a <> b THEN place END) - 1, count(*)) AS n_common FROM r GROUP BY conv_id
+), p AS (
+    SELECT r.*, n_common,
+        coalesce(sum(CASE WHEN place > n_common THEN length(a) ELSE 0 END) OVER w, 0) AS a_at,
+        coalesce(sum(CASE WHEN place > n_common THEN length(b) ELSE 0 END) OVER w, 0) AS b_at
+    FROM r JOIN f USING (conv_id)
+    WINDOW w AS (PARTITION BY r.conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT conv_id AS pair_id, any_value(n_common) AS n_common,
+    coalesce(string_agg(a, '' ORDER BY place) FILTER (place <= n_common), '') AS prompt,
+    coalesce(string_agg(a, '' ORDER BY place) FILTER (place > n_common), '') AS chosen,
+    coalesce(string_agg(b, '' ORDER BY place) FILTER (place > n_common), '') AS rejected,
+    coalesce(string_agg((a_at + 14)::BIGINT || '-' || (a_at + length(a) - 1)::BIGINT, ',' ORDER BY place)
+             FILTER (place > n_common AND role = 'assistant'), '') AS chosen_mask,
+    coalesce(string_agg((b_at + 14)::BIGINT || '-' || (b_at + length(b) - 1)::BIGINT, ',' ORDER BY place)
+             FILTER (place > n_common AND role = 'assistant'), '') AS rejected_mask
+FROM p GROUP BY conv_id
+"""
+
 ORACLE_SQL = {
     "op4_decontaminate": DECONTAMINATE,
+    "op6_preference": PREFERENCE,
     "op9_mix_sources": MIX,
 }

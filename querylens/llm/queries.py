@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from querylens.llm import dartminhash, decontaminate, fingerprint, langid, mixing, orc_tokens, pii, toxicity, url_filter
+from querylens.llm import dartminhash, decontaminate, fingerprint, langid, mixing, orc_tokens, pii, preference, toxicity, url_filter
 from querylens.llm.common import fold, read_table
 from querylens.sources.scratch import scratch_path
 
@@ -61,6 +61,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    pairs = preference.preference_pairs(turns, preference.with_shortened_reply(turns))
+
+    def as_text(mask: str):
+        return F.array_join(F.transform(mask, lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias(mask)
+
+    return pairs.select("pair_id", "n_common", "prompt", "chosen", "rejected", as_text("chosen_mask"), as_text("rejected_mask"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages")).drop("url")
 
@@ -106,6 +116,7 @@ QUERIES = {
     "op3_surrogates": op3_surrogates,
     "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
+    "op6_preference": op6_preference,
     "op7_url_filter": op7_url_filter,
     "op8_fingerprint": op8_fingerprint,
     "op9_mix_sources": op9_mix_sources,
