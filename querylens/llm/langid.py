@@ -79,7 +79,8 @@ class Model:
             chosen = shares.argmax(axis=1)
             names[rows] = np.array(step.classes, object)[chosen]
             scores[rows] = family[rows, i] * shares[np.arange(len(rows)), chosen]
-        return list(names), scores
+        # Matrix products differ in their last digits with the number of rows.
+        return list(names), np.round(scores, 9)
 
 
 def _letters_only() -> np.ndarray:

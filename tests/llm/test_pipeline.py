@@ -1,0 +1,91 @@
+"""The pipeline's stages against brute force on a small corpus with planted cases."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from test_dartminhash import edited, groups, prose
+from test_decontaminate import brute_force
+from test_langid import SYLLABLES, prose as speech
+from test_orc_tokens import expected as token_ids
+
+import corpus_pipeline
+from querylens.llm import mixing
+from querylens.sources.scratch import materialize
+
+ITEM = "alpha bravo charlie delta echo foxtrot golf hotel india juliett kilo"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    rng = random.Random(9)
+    texts = [(speech(rng, lang, rng.randint(20, 60)), lang) for lang in list(SYLLABLES)[:4] for _ in range(40)]
+    base = prose(rng, 80)
+    texts += [(" ".join(edited(rng, base, 2)), "en") for _ in range(10)]
+    texts += [(texts[0][0], "en")] * 5 + [(f"{speech(rng, 'en', 20)} {ITEM}, the", "en")]
+    texts += [("123 ...", "en"), (None, "fr"), ("", None)]
+    rows = [(i, t, lang, f"s{i % 3}" if i % 7 else None, None) for i, (t, lang) in enumerate(texts)]
+    rows.append(rows[3])
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    docs = spark.createDataFrame(rows, COLUMNS)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    items = spark.createDataFrame([(1, ITEM), (2, None)], "item_id long, text string")
+    items.write.parquet(f"{folder}/benchmark.parquet")
+    return folder, docs
+
+
+def test_stages(spark, corpus):
+    folder, docs = corpus
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "mixing_sources", "token_files"]
+    seen = [sorted(docs.collect(), key=str)]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, folder), name)
+        assert docs.columns == [c.split()[0] for c in COLUMNS.split(", ")]
+        seen.append(sorted(docs.collect(), key=str))
+    raw, spoken, alone, clean, mixed = seen
+
+    letters = [r for r in raw if any(c.isalpha() for c in r.text or "")]
+    assert spoken == letters
+
+    ordered = sorted(set(spoken), key=lambda r: r.doc_id)
+    group = groups([r.text for r in ordered])
+    assert sorted((r for i, r in enumerate(ordered) if group[i] == i), key=str) == alone
+
+    assert clean == [r for r in alone if not brute_force(r.text, [("1", ITEM)])[1]]
+    assert len(alone) - len(clean) == 1
+
+    plan = mixing.mix_plan(spark.createDataFrame(clean, COLUMNS)).collect()
+    copies = {r.doc_id: r.copies for r in plan}
+    assert mixed == sorted((r for r in clean for _ in range(copies[r.doc_id])), key=str)
+
+    rows = sorted(corpus_pipeline.token_files(spark, docs, folder).collect(), key=lambda r: r.start)
+    at = 0
+    for row, doc in zip(rows, sorted(mixed, key=lambda r: r.doc_id), strict=True):
+        ids = [*token_ids(doc.text), 1]
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert (row.doc_id, row.start, row.n_tokens, row.ids_crc32) == (doc.doc_id, at, len(ids), crc)
+        at += len(ids)
+
+
+def test_run_is_all_stages_and_survives_an_empty_table(spark, corpus, tmp_path):
+    folder, docs = corpus
+    first = sorted(corpus_pipeline.run(spark, folder).collect())
+    assert first == sorted(corpus_pipeline.run(spark, folder).collect()) and first
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_nulls_and_rows_of_one_id(spark, corpus):
+    folder, _ = corpus
+    text = "the and er wh ing tion the wh " * 3
+    rows = [(None, text, "en", None, None), (None, None, None, None, None), (1, text, "en", "a", 1), (1, text, "en", "a", None)]
+    rows += [(1, text, "en", "a", 1), (1, "sch ein ung keit pf ein sch", "de", "b", 2)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    alone = corpus_pipeline.near_dedup(spark, docs, folder).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in alone) == sorted([(0, text), (0, ""), (1, text), (1, rows[-1][1])])
