@@ -30,10 +30,11 @@ END_ID = 1
 STRIPE_BYTES = 16 << 20
 ROWS_PER_GROUP = 1000
 # Pieces between blanks whose ids a worker remembers, half of them recent ones, and the longest of them.
-REMEMBERED = 1_400_000 // 2
+REMEMBERED = 250_000
 REMEMBERED_CHARS = 48
-# Texts that are encoded together.
+# Texts that are encoded together, and their bytes; one longer text is taken alone.
 TEXTS = 4096
+TEXT_BYTES = 4 << 20
 
 _FIELDS = [
     T.StructField("n_tokens", T.LongType()),
@@ -185,8 +186,12 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = EN
         encoder, start = _encoder(tokenizer), 0
         for batch in batches:
             index = {f.name: i for i, f in enumerate(batch.schema)}
-            for at in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(at, TEXTS)
+            ends = np.cumsum(pc.binary_length(batch.column(index[text])).fill_null(0).to_numpy(), dtype=np.int64)
+            at = 0
+            while at < batch.num_rows:
+                full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT_BYTES, "right"))
+                part = batch.slice(at, max(1, min(full - at, TEXTS)))
+                at += part.num_rows
                 ids, lengths = encoder.encode(part.column(index[text]).fill_null(""))
                 values = np.insert(ids.astype(np.int32), np.cumsum(lengths), end_id)
                 offsets = np.concatenate([[0], np.cumsum(lengths + 1)])
