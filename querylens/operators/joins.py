@@ -18,8 +18,10 @@ HOT_ROWS = 5_000_000
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Data size of a stored table: eight bytes per field plus the text in it."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    """Data size of a stored table: eight bytes per field plus the text in it; nested values count as JSON text."""
+    text = [F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    text += [F.to_json(F.struct(f.name)) for f in df.schema.fields if isinstance(f.dataType, nested)]
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(f"t{i}") for i, c in enumerate(text)],
@@ -35,13 +37,19 @@ def _equal(pairs: dict[str, str], null_safe: bool) -> Column:
 def _spread_hot_keys(
     left: DataFrame, right: DataFrame, pairs: dict[str, str], null_safe: bool, hot_rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Add a salt to both sides: several per hot key, one for all others."""
+    """Add a salt to both sides: several per hot key, one for all others.
+
+    The rows of a hot key are dealt out by their place in the stored ``left``,
+    equal rows too; a repeated task finds each row at the same place.
+    """
+    left = materialize(left, "left")
     names = {c: f"_hot_{c}" for c in pairs}
     hot = left.groupBy(*pairs).agg(F.ceil(F.count(F.lit(1)) / hot_rows).alias("_salts")).where("_salts > 1")
     hot = F.broadcast(materialize(hot.withColumnsRenamed(names), "hot"))
     columns = left.columns
+    left = left.withColumn("_place", F.monotonically_increasing_id())
     left = left.join(hot, _equal(names, null_safe), "left").select(
-        *columns, F.coalesce(F.pmod(F.xxhash64(*columns), "_salts"), F.lit(0)).alias("_salt")
+        *columns, F.coalesce(F.pmod("_place", "_salts"), F.lit(0)).alias("_salt")
     )
     columns = right.columns
     last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
@@ -64,8 +72,8 @@ def lookup_join(
 
     ``right`` is measured first. Small enough, it is broadcast and ``left`` is
     not shuffled. Otherwise both sides are shuffled on the keys; a key with
-    more than ``hot_rows`` rows on the left gets a salt taken from the whole
-    row, and its rows on the right are repeated once per salt.
+    more than ``hot_rows`` rows on the left gets a salt taken from a row's
+    place, and its rows on the right are repeated once per salt.
     """
     names = {c: f"_right_{c}" for c in on}
     right = right.withColumnsRenamed(names)

@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 SPLIT_TIME = "2024-01-20 00:00:00"
-ARRIVALS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-02-01 00:00:00")
+ARRIVALS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 SNAPSHOT_DATES = tuple(datetime.date(2024, 1, day) for day in (8, 15, 22, 29))
 AS_OF = datetime.date(2024, 1, 18)
 
@@ -254,6 +254,7 @@ def _arrived(spark: SparkSession, sf_dir: str) -> LoadTable:
     table = _load_table(spark, "loads")
     for time in ARRIVALS:
         table.merge_new(_before(events(spark, sf_dir), time), "ts")
+    table.merge_new(events(spark, sf_dir), "ts")
     return table
 
 
@@ -295,6 +296,18 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(table.current())
 
 
+def q_mixed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load, a stream, a compaction and a fresh stream; each brings rows that no other step has brought before."""
+    rows = events(spark, sf_dir)
+    stream = read_file_stream(spark, f"{sf_dir}/events.parque[t]", rows.schema)
+    table = _load_table(spark, "mixed")
+    table.merge_new(_before(rows, ARRIVALS[0]), "ts")
+    stream_upsert(_before(stream, ARRIVALS[1]), table, scratch_path(spark, "first-checkpoint")).awaitTermination()
+    table = table.compact(scratch_path(spark, "mixed-compacted"))
+    stream_upsert(stream, table, scratch_path(spark, "fresh-checkpoint")).awaitTermination()
+    return _state(table.current())
+
+
 # --- history ---------------------------------------------------------------
 
 
@@ -399,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "latest_upsert": q_latest_upsert,
     "merge_loads": q_merge_loads,
     "compact_loads": q_compact_loads,
+    "mixed_loads": q_mixed_loads,
     "load_search_export": q_load_search_export,
     "refresh_labels": q_refresh_labels,
     "stream_upsert": q_stream_upsert,

@@ -358,6 +358,7 @@ FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01
     "latest_upsert": _LATEST,
     "merge_loads": _LATEST,
     "compact_loads": _LATEST,
+    "mixed_loads": _LATEST,
     "load_search_export": f"""WITH {_FLAT}
 SELECT {_FLAT_COLUMNS} FROM flat QUALIFY chunk = max(chunk) OVER (PARTITION BY restaurant_id)""",
     "refresh_labels": f"WITH {_BRANDS}, {_LABELS} SELECT restaurant_id, cuisine FROM labels",

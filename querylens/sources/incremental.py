@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -39,14 +40,16 @@ def reduce_to_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     """``latest_per_key`` for wide rows, few of which share a key.
 
     Only the keys are shuffled to find those that occur more than once. If
-    they are few, the rows of all other keys stay where they are.
+    they are few, the rows of all other keys stay where they are. A row whose
+    key has a NULL is the same as no other and stays, as in ``upsert``.
     """
     names = {c: f"_again_{c}" for c in keys}
-    again = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
+    keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in keys])
+    again = df.where(keyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
     again = materialize(again.withColumnsRenamed(names), "again")
     if measured_bytes(again) > BROADCAST_BYTES:
-        return latest_per_key(df, keys, order)
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(names[c])) for c in keys])
+        return latest_per_key(df.where(keyed), keys, order).unionByName(df.where(~keyed))
+    same = reduce(Column.__and__, [F.col(c) == F.col(names[c]) for c in keys])
     once = df.join(F.broadcast(again), same, "left_anti")
     several = df.join(F.broadcast(again), same, "left_semi")
     return once.unionByName(latest_per_key(several, keys, order))
@@ -67,10 +70,12 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFram
 class LoadTable:
     """A keyed table kept as the loads it received.
 
-    Merging a load appends its rows under ``load=<id>``; nothing already
-    written is rewritten. Readers drop the rows that a later version
-    supersedes. A load counts once its job has committed, so a failed one can
-    be repeated, and one that is repeated after it committed changes nothing.
+    Merging a load appends its rows under ``load=<sequence>-<writer>-<id>``;
+    nothing already written is rewritten. Readers drop the rows that a later
+    version supersedes; among equal versions the later load counts. A load
+    counts once its job has committed, so a failed one can be repeated, and
+    one that its writer repeats after it committed changes nothing. Ids of
+    different writers never meet.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]):
@@ -80,30 +85,40 @@ class LoadTable:
         self.order = list(order)
 
     def loads(self) -> list[str]:
-        """Ids of the committed loads, in order."""
+        """Names of the committed loads, in order."""
         pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/load=*/_SUCCESS")
         files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
         return sorted(f.getPath().getParent().getName().removeprefix("load=") for f in files or [])
 
-    def merge(self, delta: DataFrame, load_id: str) -> None:
-        """Add a load, reduced to the latest row per key."""
-        if load_id not in self.loads():
+    def _next(self, writer: str, load_id: str) -> str | None:
+        """The name of a new load, None if its writer committed it before."""
+        names = [name.split("-", 1) for name in self.loads()]
+        own = f"{writer}-{load_id}"
+        if any(name == own for _, name in names):
+            return None
+        return f"{max((int(number) for number, _ in names), default=0) + 1:012d}-{own}"
+
+    def merge(self, delta: DataFrame, load_id: str, writer: str = "batch") -> None:
+        """Add a load, reduced to the latest row per key, unless ``writer`` has added ``load_id`` before."""
+        if name := self._next(writer, load_id):
             rows = reduce_to_latest(delta, self.keys, self.order)
-            rows.write.mode("overwrite").parquet(f"{self.path}/load={load_id}")
+            rows.write.mode("overwrite").parquet(f"{self.path}/load={name}")
 
     def merge_new(self, source: DataFrame, updated: str) -> None:
         """Add the source rows that are later than everything loaded so far."""
-        loads = self.loads()
-        delta = incremental_read(source, self.rows() if loads else None, updated)
-        self.merge(delta, f"{len(loads) + 1:012d}")
+        delta = incremental_read(source, self.rows() if self.loads() else None, updated)
+        self.merge(delta, uuid.uuid4().hex, "new")
 
     def rows(self) -> DataFrame:
-        """All rows of all loads, with the ``load`` they came in."""
+        """All rows of all loads, with the ``load`` they came in.
+
+        A column that only some loads have is NULL in the others.
+        """
         paths = [f"{self.path}/load={load}" for load in self.loads()]
         if not paths:
             raise ValueError(f"no loads in {self.path}")
         # Ids are kept as text: partition discovery would drop their leading zeros.
-        parts = self.spark.read.parquet(*paths)
+        parts = self.spark.read.option("mergeSchema", "true").parquet(*paths)
         return parts.withColumn("load", F.regexp_extract("_metadata.file_path", "/load=([^/]+)/[^/]*$", 1))
 
     def current(self) -> DataFrame:
@@ -128,5 +143,5 @@ class LoadTable:
     def compact(self, path: str) -> LoadTable:
         """The current rows as the first load of a new table at ``path``."""
         compacted = LoadTable(self.spark, path, self.keys, self.order)
-        self.current().write.mode("overwrite").parquet(f"{compacted.path}/load={0:012d}")
+        self.current().write.mode("overwrite").parquet(f"{compacted.path}/load={0:012d}-compact-{uuid.uuid4().hex}")
         return compacted

@@ -22,12 +22,13 @@ def stream_upsert(source: DataFrame, table: LoadTable, checkpoint: str) -> Strea
     """Merge all rows that are available now, then stop.
 
     The checkpoint takes the place of the high-water mark. Each batch is one
-    load named after its id, so a batch repeated after a failure is merged
-    once; rows are ordered by version, so late files do not undo newer ones.
+    load named after the checkpoint's id and its own, so a batch repeated after
+    a failure is merged once, and a stream with a new checkpoint adds its own loads; rows are ordered by version, so late files do not undo newer ones.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch, f"{batch_id:012d}")
+        query_id = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        table.merge(batch, f"{batch_id:012d}", f"stream-{query_id}")
 
     return (
         source.writeStream.foreachBatch(merge)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from querylens.operators import joins
 from querylens.operators.joins import lookup_join, measured_bytes
 from querylens.operators.shares import share_of_total
 from querylens.sources.scratch import materialize
@@ -44,7 +45,7 @@ def test_equals_plain_join(left, right, how, null_safe, max_bytes, hot_rows):
 def test_hot_key_is_spread(left, right):
     joined = lookup_join(left, right, ["k"], "inner", max_bytes=0, hot_rows=10)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64" in plan and "_right_salt" in plan
+    assert "monotonically_increasing_id" in plan and "_right_salt" in plan
 
 
 @pytest.mark.parametrize("max_bytes", [1 << 20, 0])
@@ -58,3 +59,20 @@ def test_shares(spark, max_bytes):
 def test_half_is_rounded_up(spark):
     df = spark.createDataFrame([("a", 201), ("a", 19799)], "g string, x bigint")
     assert sorted(r["pct"] for r in share_of_total(df, ["g"], {"pct": "x"}).collect()) == [1.01, 99.0]  # 1.005 and 98.995
+
+
+def test_equal_rows_of_a_hot_key_are_spread_and_maps_join(spark):
+    equal = spark.range(1000).selectExpr("1 AS k", "map('a', 1) AS m").repartition(4)
+    right = spark.createDataFrame([(1, "one")], ["k", "v"])
+    for max_bytes in (1 << 20, 0):
+        joined = lookup_join(equal, right, ["k"], max_bytes=max_bytes, hot_rows=100)
+        assert joined.count() == 1000
+        assert {r["v"] for r in joined.select("v").collect()} == {"one"}
+    salted, _ = joins._spread_hot_keys(equal, right.withColumnRenamed("k", "_right_k"), {"k": "_right_k"}, False, 100)
+    sizes = [r["count"] for r in salted.groupBy("_salt").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 110
+
+
+def test_nested_columns_are_measured(spark):
+    nested = spark.range(10).selectExpr("array(repeat('x', 1000), repeat('y', 1000)) AS words")
+    assert measured_bytes(nested) > 20_000

@@ -65,7 +65,9 @@ def test_latest_per_key(spark, monkeypatch, latest, limit):
     reduced = latest(rows, ["k"], ["at"])
     assert reduced.columns == rows.columns
     kept = sorted((str(r["k"]), r["data"]) for r in reduced.collect())
-    assert kept == [("1", "new"), ("2", "b"), ("4", "one"), ("5", "same"), ("6", "x"), ("None", "n")]
+    # Rows without a key are the same as no other when they are loaded.
+    without = [("None", "n")] if latest is latest_per_key else [("None", "m"), ("None", "n")]
+    assert kept == [("1", "new"), ("2", "b"), ("4", "one"), ("5", "same"), ("6", "x"), *without]
 
 
 def test_rows_of_single_keys_are_not_moved(spark, tmp_path):
@@ -116,7 +118,7 @@ def test_repeated_and_failed_loads(spark, tmp_path):
     frame(spark, (1, 5, "half written")).write.option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
     ).parquet(str(tmp_path / "t" / "load=02"))
-    assert table.loads() == ["01"]
+    assert table.loads() == ["000000000001-batch-01"]
     assert found(table.current()) == [(1, "a")]
     table.merge(frame(spark, (1, 2, "b")), "02")
     assert found(table.current()) == [(1, "b")]
@@ -149,13 +151,39 @@ def test_stream(spark, tmp_path):
     assert found(table.current()) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
 
 
-def test_stream_batch_repeated_after_a_failure(spark, tmp_path):
-    source = str(tmp_path / "in")
-    frame(spark, (1, 1, "a")).coalesce(1).write.parquet(source)
+def test_fresh_stream_adds_its_own_loads(spark, tmp_path):
     table = LoadTable(spark, str(tmp_path / "t"), ["k"], ["at"])
-    for attempt in ("first", "second"):
-        # A new checkpoint makes the same batch run again.
-        stream = read_file_stream(spark, source, schema(spark))
-        stream_upsert(stream, table, str(tmp_path / attempt)).awaitTermination()
-    assert table.loads() == ["000000000000"]
-    assert found(table.current()) == [(1, "a")]
+    table.merge_new(frame(spark, (1, 1, "a")), "at")
+    table.merge_new(frame(spark, (1, 2, "A"), (2, 2, "b")), "at")
+
+    def run(name, table, *rows):
+        frame(spark, *rows).coalesce(1).write.parquet(str(tmp_path / name))
+        stream = read_file_stream(spark, str(tmp_path / name), schema(spark))
+        stream_upsert(stream, table, str(tmp_path / f"{name}-checkpoint")).awaitTermination()
+
+    run("first", table, (3, 3, "c"))
+    run("second", table, (3, 3, "c"), (4, 3, "d"))
+    assert len(table.loads()) == 4
+    compacted = table.compact(str(tmp_path / "compacted"))
+    run("third", compacted, (5, 4, "e"), (1, 4, "last"))
+    assert found(compacted.current()) == [(1, "last"), (2, "b"), (3, "c"), (4, "d"), (5, "e")]
+
+
+def test_writers_do_not_share_ids(spark, tmp_path):
+    table = LoadTable(spark, str(tmp_path / "t"), ["k"], ["at"])
+    table.merge(frame(spark, (1, 1, "a")), "01", "x")
+    table.merge(frame(spark, (2, 1, "b")), "01", "y")
+    table.merge(frame(spark, (2, 9, "repeated")), "01", "y")
+    assert found(table.current()) == [(1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_null_keys_and_added_columns(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(incremental, "BROADCAST_BYTES", limit)
+    table = LoadTable(spark, str(tmp_path / "t"), ["k"], ["at"])
+    table.merge(frame(spark, (None, 1, "a"), (None, 2, "b"), (1, 1, "x"), (1, 2, "y")), "01")
+    assert sorted(r["data"] for r in table.current().collect()) == ["a", "b", "y"]
+    table.merge(frame(spark, (None, 1, "c"), (2, 1, "z")).selectExpr("*", "1 AS more"), "02")
+    assert sorted((r["data"], r["more"] or 0) for r in table.current().collect()) == [
+        ("a", 0), ("b", 0), ("c", 1), ("y", 0), ("z", 1)
+    ]
