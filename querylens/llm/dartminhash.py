@@ -29,6 +29,8 @@ SIMILARITY = 0.8
 # A pair of similarity 0.8 shares a band with probability 0.99993.
 BANDS = 24
 ROWS = 5
+# Bits that mark which parts of the hash range a set's regions fall in.
+MARKS = 256
 # Turns of comparing each node with one other of each of its rare regions; they only save work of the last step.
 TURNS = 3
 
@@ -168,6 +170,14 @@ def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return hashes.view(np.int64)
 
 
+def _marks(region: np.ndarray, doc: np.ndarray, n_docs: int) -> pa.Array:
+    """``MARKS`` bits for each text, as a list of 64-bit numbers: the parts of the hash range with regions of the text."""
+    bits = np.zeros((n_docs, MARKS), bool)
+    bits[doc, (region >> _U(32)) * _U(MARKS) >> _U(32)] = True
+    longs = np.packbits(bits, axis=1).reshape(-1).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(n_docs + 1) * (MARKS // 64), pa.int32()), pa.array(longs))
+
+
 def _with_arrow(df: DataFrame, text: str, fields: list[T.StructField], make) -> DataFrame:
     kept = [f for f in df.schema.fields if f.name != text]
     schema = T.StructType([*kept, *fields])
@@ -185,13 +195,19 @@ def _with_arrow(df: DataFrame, text: str, fields: list[T.StructField], make) ->
     return df.mapInArrow(run, schema)
 
 
-def signatures(docs: DataFrame, text: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``docs`` with ``node``, the hash of its weighted set, ``n``, its weight, and a hash of each of its ``bands``, without the text."""
+def signatures(docs: DataFrame, text: str, bands: int = BANDS, rows: int = ROWS, marks: bool = False) -> DataFrame:
+    """``docs`` with signatures in place of the text.
+
+    Added are ``node``, the hash of the weighted set, ``n``, its weight, a hash
+    of each of its ``bands``, and, if asked for, its ``marks``.
+    """
     fields = [
         T.StructField("node", T.BinaryType()),
         T.StructField("n", T.LongType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
     ]
+    if marks:
+        fields.append(T.StructField("marks", T.ArrayType(T.LongType())))
 
     def make(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         n = len(offsets) - 1
@@ -200,7 +216,8 @@ def signatures(docs: DataFrame, text: str, bands: int = BANDS, rows: int = ROWS)
         ends = pa.array(np.arange(n + 1) * bands, pa.int32())
         found = pa.ListArray.from_arrays(ends, pa.array(hashes.reshape(-1)))
         size = pa.array(np.bincount(doc, minlength=n), pa.int64())
-        return [pa.array(_set_ids(region, doc, n), pa.binary()), size, found]
+        own = [_marks(region, doc, n)] if marks else []
+        return [pa.array(_set_ids(region, doc, n), pa.binary()), size, found, *own]
 
     return _with_arrow(docs, text, fields, make)
 
@@ -226,9 +243,23 @@ def _similar(a: Column, b: Column, least: float) -> Column:
     return common >= least * (F.size(a) + F.size(b) - common)
 
 
-def _sizes_fit(a: str, b: str, least: float) -> Column:
-    """Sets that differ more in size can't be similar enough."""
-    return (F.col(a) >= F.col(b) * least) & (F.col(b) >= F.col(a) * least)
+def _sets_fit(a: str, b: str, marks_a: str, marks_b: str, least: float) -> Column:
+    """False only for sets that can't be similar enough.
+
+    Those differ too much in size, or one has regions in so many parts of the
+    hash range where the other has none that too few can be common.
+    """
+    n_a, n_b = F.col(a), F.col(b)
+
+    def missing(have: str, other: str) -> Column:
+        parts = [
+            F.bit_count(F.get(have, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(other, F.lit(i))))) for i in range(MARKS // 64)
+        ]
+        return sum(parts[1:], parts[0])
+
+    needed = (n_a + n_b) * (least / (1 + least)) - 1e-9
+    common = F.least(n_a - missing(marks_a, marks_b), n_b - missing(marks_b, marks_a))
+    return (n_a >= n_b * least) & (n_b >= n_a * least) & (common >= needed)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -278,12 +309,12 @@ def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 def _with_leaders(shared: DataFrame, similarity: float) -> DataFrame:
     """(a, b): leader and member of a bucket that aren't connected yet and may be similar, each pair once."""
-    far = shared.where((F.col("root") != F.col("leader_root")) & _sizes_fit("n", "leader_n", similarity))
+    far = shared.where((F.col("root") != F.col("leader_root")) & _sets_fit("n", "leader_n", "marks", "leader_marks", similarity))
     return far.select(F.col("leader").alias("a"), F.col("node").alias("b"))
 
 
 def _prefixes(shared: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, n, region, left): where nodes of mixed buckets may meet, as a stored table.
+    """(node, n, marks, left, region): where nodes of mixed buckets may meet, as a stored table.
 
     Many texts may share a passage, and so a bucket, without being similar. So
     the pairs of a bucket are not written out. Regions are put in order, rare
@@ -292,21 +323,21 @@ def _prefixes(shared: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     similarity. Regions that only one set has are dropped.
     """
     mixed = shared.where("root != leader_root").select("bucket").distinct()
-    members = shared.join(mixed, "bucket").select("node", "n").distinct()
-    members = materialize(members.join(sets, "node").select("node", "n", "regions"), "strangers")
+    members = shared.join(mixed, "bucket").select("node", "n", "marks").distinct()
+    members = materialize(members.join(sets, "node").select("node", "n", "marks", "regions"), "strangers")
     each = members.select("node", F.explode("regions").alias("region"))
     often = each.groupBy("region").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     ordered = each.join(often, "region").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("often", "region"))).alias("ordered")  # as long as the set itself
     )
-    ordered = members.select("node", "n").join(ordered, "node")
+    ordered = members.select("node", "n", "marks").join(ordered, "node")
     alone = F.col("n") - F.size("ordered")
     prefix = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
     ordered = ordered.withColumns({"alone": alone, "first": F.greatest(prefix - alone, F.lit(0)).cast("int")})
     ordered = ordered.withColumn("ordered", F.slice("ordered", F.lit(1), F.col("first")))
-    found = ordered.select("node", "n", "alone", F.posexplode("ordered").alias("place", "at"))
+    found = ordered.select("node", "n", "marks", "alone", F.posexplode("ordered").alias("place", "at"))
     left = F.col("n") - F.col("alone") - F.col("place")
-    return materialize(found.select("node", "n", left.alias("left"), "at.region"), "prefixes")
+    return materialize(found.select("node", "n", "marks", left.alias("left"), "at.region"), "prefixes")
 
 
 def _meeting(prefixes: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -327,10 +358,10 @@ def _meeting(prefixes: DataFrame, roots: DataFrame | None) -> DataFrame:
 def _may_be_similar(similarity: float) -> Column:
     needed = (F.col("n") + F.col("o_n")) * (similarity / (1 + similarity)) - 1e-9
     enough = (F.col("left") >= needed) & (F.col("o_left") >= needed)
-    return (F.col("root") != F.col("o_root")) & _sizes_fit("n", "o_n", similarity) & enough
+    return (F.col("root") != F.col("o_root")) & _sets_fit("n", "o_n", "marks", "o_marks", similarity) & enough
 
 
-_OTHER = ("region", "o_node", "o_root", "o_n", "o_left")
+_OTHER = ("region", "o_node", "o_root", "o_n", "o_marks", "o_left")
 
 
 def _each_once(both: DataFrame) -> DataFrame:
@@ -339,15 +370,15 @@ def _each_once(both: DataFrame) -> DataFrame:
 
 def _with_one_of_each_region(meeting: DataFrame, similarity: float, turn: int) -> DataFrame:
     """(a, b): each node with one other of each of its regions, another one each turn."""
-    row = F.struct(F.xxhash64("node", "region", F.lit(turn)).alias("draw"), "node", "root", "n", "left")
+    row = F.struct(F.xxhash64("node", "region", F.lit(turn)).alias("draw"), "node", "root", "n", "marks", "left")
     drawn = meeting.groupBy("region").agg(F.min(row).alias("r"))
-    drawn = drawn.select("region", "r.node", "r.root", "r.n", "r.left").toDF(*_OTHER)
+    drawn = drawn.select("region", "r.node", "r.root", "r.n", "r.marks", "r.left").toDF(*_OTHER)
     return _each_once(meeting.join(drawn, "region").where(_may_be_similar(similarity)))
 
 
 def _with_all_of_each_region(meeting: DataFrame, similarity: float) -> DataFrame:
     """(a, b): all that may be similar; one of the two is outside its region's largest group."""
-    others = meeting.where("root != top").select("region", "node", "root", "n", "left").toDF(*_OTHER)
+    others = meeting.where("root != top").select("region", "node", "root", "n", "marks", "left").toDF(*_OTHER)
     return _each_once(meeting.join(others, "region").where(_may_be_similar(similarity)))
 
 
@@ -375,10 +406,11 @@ def links(nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame | N
     connected already are never compared, so little is left for the last step,
     which makes the result exact whatever the turns before it found.
     """
-    bucket = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    first = F.min(F.struct("node", "n")).alias("first")
+    bucket = nodes.select("node", "n", "marks", F.explode("bands").alias("bucket"))
+    first = F.min(F.struct("node", "n", "marks")).alias("first")
     leaders = bucket.groupBy("bucket").agg(first, F.count(F.lit(1)).alias("members")).where("members > 1")
-    leaders = leaders.select("bucket", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n"))
+    leader = [F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n"), F.col("first.marks").alias("leader_marks")]
+    leaders = leaders.select("bucket", *leader)
     shared = materialize(bucket.join(leaders, "bucket"), "buckets")
     if shared.isEmpty():
         return None
@@ -424,10 +456,11 @@ def near_duplicates(
     their ids. An empty table gives an empty one.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    signed = materialize(signatures(texts, "text", bands, rows), "signatures")
+    signed = materialize(signatures(texts, "text", bands, rows, marks=True), "signatures")
     # One row per weighted set: copies go no further than this aggregate, which is combined before the shuffle.
     same = signed.where("node is not null").groupBy("node")
-    nodes = same.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    of_set = [F.first(c).alias(c) for c in ("n", "marks", "bands")]
+    nodes = same.agg(F.min("doc_id").alias("doc_id"), *of_set)
     nodes = materialize(nodes, "nodes")
     roots = links(nodes, texts, similarity)
     classes = nodes.select("node", F.col("doc_id").alias("class_id"))
