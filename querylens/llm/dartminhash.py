@@ -29,8 +29,8 @@ SIMILARITY = 0.8
 # A pair of similarity 0.8 shares a band with probability 0.99993.
 BANDS = 24
 ROWS = 5
-# Bits that mark which parts of the hash range a set's regions fall in.
-MARKS = 256
+# Bits that mark which parts of the hash range a set's regions fall in; they tell most for sets up to about as many regions.
+MARKS = 1024
 # Turns of comparing each node with one other of each of its rare regions; they only save work of the last step.
 TURNS = 3
 
@@ -195,19 +195,13 @@ def _with_arrow(df: DataFrame, text: str, fields: list[T.StructField], make) ->
     return df.mapInArrow(run, schema)
 
 
-def signatures(docs: DataFrame, text: str, bands: int = BANDS, rows: int = ROWS, marks: bool = False) -> DataFrame:
-    """``docs`` with signatures in place of the text.
-
-    Added are ``node``, the hash of the weighted set, ``n``, its weight, a hash
-    of each of its ``bands``, and, if asked for, its ``marks``.
-    """
+def signatures(docs: DataFrame, text: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``docs`` with ``node``, the hash of its weighted set, ``n``, its weight, and a hash of each of its ``bands``, without the text."""
     fields = [
         T.StructField("node", T.BinaryType()),
         T.StructField("n", T.LongType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
     ]
-    if marks:
-        fields.append(T.StructField("marks", T.ArrayType(T.LongType())))
 
     def make(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         n = len(offsets) - 1
@@ -216,15 +210,18 @@ def signatures(docs: DataFrame, text: str, bands: int = BANDS, rows: int = ROWS,
         ends = pa.array(np.arange(n + 1) * bands, pa.int32())
         found = pa.ListArray.from_arrays(ends, pa.array(hashes.reshape(-1)))
         size = pa.array(np.bincount(doc, minlength=n), pa.int64())
-        own = [_marks(region, doc, n)] if marks else []
-        return [pa.array(_set_ids(region, doc, n), pa.binary()), size, found, *own]
+        return [pa.array(_set_ids(region, doc, n), pa.binary()), size, found]
 
     return _with_arrow(docs, text, fields, make)
 
 
 def weighted_sets(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with ``node`` and ``regions``, 32-bit hashes of its weighted set, in place of the text."""
-    fields = [T.StructField("node", T.BinaryType()), T.StructField("regions", T.ArrayType(T.IntegerType()))]
+    """``docs`` with ``node``, ``regions``, 32-bit hashes of its weighted set, and its ``marks`` in place of the text."""
+    fields = [
+        T.StructField("node", T.BinaryType()),
+        T.StructField("regions", T.ArrayType(T.IntegerType())),
+        T.StructField("marks", T.ArrayType(T.LongType())),
+    ]
 
     def make(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         n = len(offsets) - 1
@@ -232,7 +229,7 @@ def weighted_sets(docs: DataFrame, text: str) -> DataFrame:
         ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))])
         short = pa.array((region >> _U(32)).astype(np.uint32).view(np.int32))
         found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), short)
-        return [pa.array(_set_ids(region, doc, n), pa.binary()), found]
+        return [pa.array(_set_ids(region, doc, n), pa.binary()), found, _marks(region, doc, n)]
 
     return _with_arrow(docs, text, fields, make)
 
@@ -243,23 +240,25 @@ def _similar(a: Column, b: Column, least: float) -> Column:
     return common >= least * (F.size(a) + F.size(b) - common)
 
 
-def _sets_fit(a: str, b: str, marks_a: str, marks_b: str, least: float) -> Column:
+def _sizes_fit(a: str, b: str, least: float) -> Column:
+    """Sets that differ more in size can't be similar enough."""
+    return (F.col(a) >= F.col(b) * least) & (F.col(b) >= F.col(a) * least)
+
+
+def _marks_fit(a: str, b: str, marks_a: str, marks_b: str, least: float) -> Column:
     """False only for sets that can't be similar enough.
 
-    Those differ too much in size, or one has regions in so many parts of the
-    hash range where the other has none that too few can be common.
+    Each part of the hash range in which one set has regions and the other has
+    none is a region that isn't common.
     """
-    n_a, n_b = F.col(a), F.col(b)
 
-    def missing(have: str, other: str) -> Column:
-        parts = [
-            F.bit_count(F.get(have, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(other, F.lit(i))))) for i in range(MARKS // 64)
-        ]
-        return sum(parts[1:], parts[0])
+    def common(n: str, have: str, other: str) -> Column:
+        at = range(MARKS // 64)
+        alone = [F.bit_count(F.get(have, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(other, F.lit(i))))) for i in at]
+        return F.col(n) - sum(alone[1:], alone[0])
 
-    needed = (n_a + n_b) * (least / (1 + least)) - 1e-9
-    common = F.least(n_a - missing(marks_a, marks_b), n_b - missing(marks_b, marks_a))
-    return (n_a >= n_b * least) & (n_b >= n_a * least) & (common >= needed)
+    needed = (F.col(a) + F.col(b)) * (least / (1 + least)) - 1e-9
+    return (common(a, marks_a, marks_b) >= needed) & (common(b, marks_b, marks_a) >= needed)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -309,7 +308,7 @@ def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 def _with_leaders(shared: DataFrame, similarity: float) -> DataFrame:
     """(a, b): leader and member of a bucket that aren't connected yet and may be similar, each pair once."""
-    far = shared.where((F.col("root") != F.col("leader_root")) & _sets_fit("n", "leader_n", "marks", "leader_marks", similarity))
+    far = shared.where((F.col("root") != F.col("leader_root")) & _sizes_fit("n", "leader_n", similarity))
     return far.select(F.col("leader").alias("a"), F.col("node").alias("b"))
 
 
@@ -323,7 +322,7 @@ def _prefixes(shared: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     similarity. Regions that only one set has are dropped.
     """
     mixed = shared.where("root != leader_root").select("bucket").distinct()
-    members = shared.join(mixed, "bucket").select("node", "n", "marks").distinct()
+    members = shared.join(mixed, "bucket").select("node", "n").distinct()
     members = materialize(members.join(sets, "node").select("node", "n", "marks", "regions"), "strangers")
     each = members.select("node", F.explode("regions").alias("region"))
     often = each.groupBy("region").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
@@ -358,7 +357,8 @@ def _meeting(prefixes: DataFrame, roots: DataFrame | None) -> DataFrame:
 def _may_be_similar(similarity: float) -> Column:
     needed = (F.col("n") + F.col("o_n")) * (similarity / (1 + similarity)) - 1e-9
     enough = (F.col("left") >= needed) & (F.col("o_left") >= needed)
-    return (F.col("root") != F.col("o_root")) & _sets_fit("n", "o_n", "marks", "o_marks", similarity) & enough
+    fit = _sizes_fit("n", "o_n", similarity) & enough & _marks_fit("n", "o_n", "marks", "o_marks", similarity)
+    return (F.col("root") != F.col("o_root")) & fit
 
 
 _OTHER = ("region", "o_node", "o_root", "o_n", "o_marks", "o_left")
@@ -383,7 +383,7 @@ def _with_all_of_each_region(meeting: DataFrame, similarity: float) -> DataFrame
 
 
 def _candidate_sets(rows: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame:
-    """(node, regions) of all nodes in shared buckets, as a stored table.
+    """(node, regions, marks) of all nodes in shared buckets, as a stored table.
 
     The texts are read once more, only those of each node's smallest id.
     """
@@ -406,11 +406,10 @@ def links(nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame | N
     connected already are never compared, so little is left for the last step,
     which makes the result exact whatever the turns before it found.
     """
-    bucket = nodes.select("node", "n", "marks", F.explode("bands").alias("bucket"))
-    first = F.min(F.struct("node", "n", "marks")).alias("first")
+    bucket = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    first = F.min(F.struct("node", "n")).alias("first")
     leaders = bucket.groupBy("bucket").agg(first, F.count(F.lit(1)).alias("members")).where("members > 1")
-    leader = [F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n"), F.col("first.marks").alias("leader_marks")]
-    leaders = leaders.select("bucket", *leader)
+    leaders = leaders.select("bucket", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n"))
     shared = materialize(bucket.join(leaders, "bucket"), "buckets")
     if shared.isEmpty():
         return None
@@ -456,11 +455,10 @@ def near_duplicates(
     their ids. An empty table gives an empty one.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    signed = materialize(signatures(texts, "text", bands, rows, marks=True), "signatures")
+    signed = materialize(signatures(texts, "text", bands, rows), "signatures")
     # One row per weighted set: copies go no further than this aggregate, which is combined before the shuffle.
     same = signed.where("node is not null").groupBy("node")
-    of_set = [F.first(c).alias(c) for c in ("n", "marks", "bands")]
-    nodes = same.agg(F.min("doc_id").alias("doc_id"), *of_set)
+    nodes = same.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = materialize(nodes, "nodes")
     roots = links(nodes, texts, similarity)
     classes = nodes.select("node", F.col("doc_id").alias("class_id"))
