@@ -124,3 +124,17 @@ def test_no_python_beyond_signatures_and_sets(spark):
     assert [f.name for f in signed.schema.fields] == ["doc_id", "node", "n", "bands"]
     assert signed.select(F.size("bands")).first()[0] == dm.BANDS
     assert np.array(signed.first().bands).dtype == np.int64
+
+
+def test_marks_rule_out_only_what_is_not_similar(spark):
+    rng = random.Random(9)
+    base = prose(rng, 120)
+    texts = [" ".join(w if rng.random() > share else f"x{rng.randint(0, 10**6)}" for w in base) for share in (0, 0.01, 0.02, 0.1, 0.5) for _ in range(4)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "", "one two"])], "doc_id long, text string")
+    sets = dm.weighted_sets(docs, "text").withColumn("n", F.size("regions"))
+    other = sets.select(*[F.col(c).alias(f"o_{c}") for c in sets.columns]).withColumnRenamed("o_doc_id", "other")
+    both = sets.join(other, sets.doc_id < other.other).where("n > 0 and o_n > 0")
+    fit = dm._marks_fit("n", "o_n", "marks", "o_marks", 0.8)
+    rows = both.select(fit.alias("fit"), dm._similar(F.col("regions"), F.col("o_regions"), 0.8).alias("similar")).collect()
+    assert any(r.similar for r in rows) and all(r.fit for r in rows if r.similar)
+    assert any(not r.fit for r in rows)
