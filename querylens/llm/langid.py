@@ -48,8 +48,8 @@ class Pairwise:
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, DIMENSIONS)))
     intercepts: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def probabilities(self, features: np.ndarray) -> np.ndarray:
-        """Mean share of each class in its duels, scaled to add up to 1."""
+    def duels(self, features: np.ndarray) -> np.ndarray:
+        """Mean share of each class in its duels; the likeliest class has a half at least, however many there are."""
         if len(self.classes) == 1:
             return np.ones((len(features), 1))
         first = 1 / (1 + np.exp(-STEEPNESS * (features @ self.weights.T + self.intercepts)))
@@ -57,7 +57,7 @@ class Pairwise:
         for i, (a, b) in enumerate(self.pairs):
             shares[:, a] += first[:, i]
             shares[:, b] += 1 - first[:, i]
-        return shares / shares.sum(axis=1, keepdims=True)
+        return shares / (len(self.classes) - 1)
 
 
 @dataclass(frozen=True)
@@ -67,20 +67,25 @@ class Model:
     families: Pairwise
     languages: dict[str, Pairwise]
 
-    def predict(self, features: np.ndarray) -> tuple[list[str], np.ndarray]:
-        """The likeliest language of the likeliest family, and the product of both probabilities."""
-        names, scores = np.empty(len(features), object), np.zeros(len(features))
-        family = self.families.probabilities(features)
+    def predict(self, features: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The likeliest language of the likeliest family, the product of both probabilities, and that of the shares in duels.
+
+        Probabilities add up to 1 over the classes, so the more classes, the smaller they are; shares don't get smaller.
+        """
+        names, scores, sure = np.empty(len(features), object), np.zeros(len(features)), np.zeros(len(features))
+        family = self.families.duels(features)
         best = family.argmax(axis=1)
         for i, name in enumerate(self.families.classes):
             rows = np.flatnonzero(best == i)
             step = self.languages[name]
-            shares = step.probabilities(features[rows])
+            shares = step.duels(features[rows])
             chosen = shares.argmax(axis=1)
             names[rows] = np.array(step.classes, object)[chosen]
-            scores[rows] = family[rows, i] * shares[np.arange(len(rows)), chosen]
+            won, total = shares[np.arange(len(rows)), chosen], shares.sum(axis=1)
+            sure[rows] = family[rows, i] * won
+            scores[rows] = family[rows, i] / family[rows].sum(axis=1) * (won / total)
         # Matrix products differ in their last digits with the number of rows.
-        return list(names), np.round(scores, 9)
+        return list(names), np.round(scores, 9), np.round(sure, 9)
 
 
 def _letters_only() -> np.ndarray:
@@ -183,37 +188,41 @@ def fit(
     return Model(_fit_pairs(rows, "family", sorted(by_family)), steps)
 
 
-def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model | None, text: str = "text", sure: str | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` from each whole text; they replace columns of these names.
 
     A NULL text, an empty one, and one without a letter get ``und`` and score
     0; so does every text when there is no model. Other columns are not
-    looked at. Equal texts get equal results.
+    looked at. Equal texts get equal results. ``sure`` names one more column:
+    the language's mean share in its duels times its family's, which unlike
+    ``score`` doesn't fall with the number of languages.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        names, scores = [], []
+        names, scores, shares = [], [], []
         for data, offsets in text_chunks(batch.column(batch.schema.get_field_index(text))):
             known = np.array(list(_has_letter(data, offsets)), bool)
             if shared.value is None:
                 known[:] = False
-                found, sure = [UNDETERMINED] * len(known), np.zeros(len(known))
+                found, likely, share = [UNDETERMINED] * len(known), np.zeros(len(known)), np.zeros(len(known))
             else:
-                found, sure = shared.value.predict(features(data, offsets))
+                found, likely, share = shared.value.predict(features(data, offsets))
             names += [x if k else UNDETERMINED for x, k in zip(found, known, strict=True)]
-            scores.append(np.where(known, sure, 0.0))
-        flat = np.concatenate(scores) if scores else np.empty(0)
-        return [pa.array(names, pa.string()), pa.array(flat, pa.float64())]
+            scores.append(np.where(known, likely, 0.0))
+            shares.append(np.where(known, share, 0.0))
+        numbers = [scores, shares] if sure else [scores]
+        return [pa.array(names, pa.string()), *(pa.array(np.concatenate([np.empty(0), *x]), pa.float64()) for x in numbers)]
 
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields += [T.StructField(sure, T.DoubleType())] if sure else []
     return add_columns(docs, fields, compute)
 
 
 def identified(docs: DataFrame, model: Model | None, text: str = "text", min_score: float = 0.3) -> DataFrame:
     """The documents whose language is determined with at least ``min_score``, with their own columns.
 
-    Cases as in ``predict``. Without a model nothing can be told, and only
+    The measure is ``sure`` of ``predict``, the same for two languages as for many. Cases as in ``predict``. Without a model nothing can be told, and only
     documents without a letter go.
     """
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
@@ -221,5 +230,5 @@ def identified(docs: DataFrame, model: Model | None, text: str = "text", min_sco
     if model is None:
         kept = numbered.where(F.col(name).rlike(r"\p{L}"))
     else:
-        kept = predict(numbered, model, name).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+        kept = predict(numbered, model, name, "sure").where((F.col("lang_pred") != UNDETERMINED) & (F.col("sure") >= min_score))
     return kept.select(*numbered.columns).toDF(*docs.columns)

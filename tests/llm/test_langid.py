@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as contract
@@ -73,6 +74,39 @@ def test_rejection_keeps_columns(spark, model):
     assert [r.doc_id for r in langid.identified(docs, None).collect()] == [1]
 
 
+def machines(classes, centres):
+    """Between each two classes, the plane halfway between their centres, with both at margins of 1 and -1."""
+    pairs = [(a, b) for a in range(len(classes)) for b in range(a + 1, len(classes))]
+    weights = [2 * (centres[a] - centres[b]) / np.sum((centres[a] - centres[b]) ** 2) for a, b in pairs]
+    middles = [-w @ (centres[a] + centres[b]) / 2 for w, (a, b) in zip(weights, pairs, strict=True)]
+    return langid.Pairwise(classes, pairs, np.array(weights).reshape(len(pairs), langid.DIMENSIONS), np.array(middles))
+
+
+def test_all_listed_languages_are_kept(spark):
+    rng = random.Random(11)
+    own = {lang: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(8)] for lang in langid.FAMILIES}
+
+    def speech(lang):
+        return " ".join("".join(rng.choices(own[lang], k=rng.randint(1, 3))) for _ in range(rng.randint(30, 60)))
+
+    def centre(langs):
+        texts = [speech(lang).encode() for lang in langs for _ in range(20)]
+        ends = np.cumsum([0, *map(len, texts)])
+        return langid.features(np.frombuffer(b"".join(texts), np.uint8), ends).mean(axis=0)
+
+    members = {f: sorted(x for x in own if langid.FAMILIES[x] == f) for f in sorted(set(langid.FAMILIES.values()))}
+    steps = {f: machines(langs, [centre([x]) for x in langs]) for f, langs in members.items()}
+    model = langid.Model(machines(list(members), [centre(x) for x in members.values()]), steps)
+    docs = spark.createDataFrame([(speech(lang), lang) for lang in own for _ in range(5)] + [("12", "en")], "text string, lang string")
+    found = langid.predict(docs, model).where("lang_pred = lang").collect()
+    assert len(found) == 90 and max(r.score for r in found) < 0.3
+    assert langid.identified(docs, model).count() == 90
+    undecided = np.zeros(langid.DIMENSIONS)
+    steps = {f: langid.Pairwise(p.classes, p.pairs, p.weights * 0, p.intercepts * 0) for f, p in steps.items()}
+    model = langid.Model(langid.Pairwise(model.families.classes, model.families.pairs, np.stack([undecided] * 3), np.zeros(3)), steps)
+    assert langid.identified(docs, model).count() == 0
+
+
 def test_query_on_held_out_documents(spark):
     rows = QUERIES["op1_language_id"](spark, contract.SMOKE_DIR).collect()
     docs = spark.read.parquet(f"{contract.SMOKE_DIR}/documents.parquet").collect()
