@@ -111,6 +111,36 @@ def test_collisions_are_found(spark):
     assert counts == [1, 1, 0]
 
 
+def test_no_name_keeps_its_own_and_none_fails_the_table(spark):
+    short = [f"Mr. {a}{b}" for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou"]
+    texts = [*short, "Mr. Đỗ", "Dr. Աբգար", "Mr. Йова", *(f"Mr. {n}" for n in pii.GIVEN_NAMES["latin", "male"])]
+    rows = replaced(spark, texts)
+    entities = [r.entities[0] for r in rows]
+    assert [e.entity for e in entities] == texts and all(e.surrogate != e.entity for e in entities)
+    assert len({e.surrogate for e in entities}) == len(texts)
+    assert {e.surrogate for e in entities[: len(short)]} <= {*short}
+    assert re.fullmatch("Dr. [Ա-Ֆ][ա-ֆ]{4}", entities[len(short) + 1].surrogate)
+    assert re.fullmatch("Mr. [^\\W\\d_A-Za-z]{2}", entities[len(short)].surrogate)
+
+
+def test_only_entities_that_meet_are_drawn_again(spark, monkeypatch):
+    first = pii.surrogate
+
+    def meeting(entity, kind, key=pii.KEY):
+        again = F.when(entity.isin("10.0.0.1", "10.0.0.2"), "9.9.9.9").when(entity == "10.0.0.3", entity)
+        return first(entity, kind, key) if "#0#" in key else F.coalesce(again, first(entity, kind, key))
+
+    texts = ["10.0.0.1 and 10.0.0.2", "10.0.0.3", "10.0.0.4 a@b.co 10.0.0.2", "none", None]
+    before = replaced(spark, texts)
+    monkeypatch.setattr(pii, "surrogate", meeting)
+    rows = replaced(spark, texts)
+    new = {e.entity: e.surrogate for r in rows for e in r.entities or []}
+    old = {e.entity: e.surrogate for r in before for e in r.entities or []}
+    assert new["10.0.0.1"] == "9.9.9.9" and all(new[x] == old[x] for x in ("10.0.0.4", "a@b.co"))
+    assert len(set(new.values())) == len(new) and all(k != v for k, v in new.items())
+    assert rows[2].text == " ".join(new[x] for x in texts[2].split(" ")) and rows[3].text == "none" and rows[4].entities is None
+
+
 def test_long_texts_and_empty_tables(spark):
     text = "word " * 100_000 + "x@example.com " + "tail " * 1000
     (row,) = replaced(spark, [text])
