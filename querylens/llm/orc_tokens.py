@@ -46,7 +46,8 @@ _FIELDS = [
 # A word of letters whose lower case is a single letter too, and marks after it that no rule joins with letters.
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _BEFORE_MARKS = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~])"
-_PROBES = ["a b", " a  b ", "it 's", "x \u0301 y", "1 2\n3", "! ?", "<|endoftext|> a", "Ab, cd...", "É ü"]
+_COMBINING = r"\pM"
+_PROBES = ["a b", " a  b ", "it 's", "x \u0301 y", "1 2\n3", "! ?", "<|endoftext|> a", "Ab, cd...", "É ü", "J\u030c, x"]
 
 
 class TextEncoder:
@@ -141,7 +142,9 @@ class TextEncoder:
     def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not pc.any(pc.match_substring(texts, self.special)).as_py():
             # Neither changes any id, and more pieces are alike: a mark after a letter begins a piece of its own.
-            texts = pc.replace_substring_regex(pc.ascii_lower(texts), _BEFORE_MARKS, r"\1 \2")
+            # Before a combining mark a small letter may be composed where its capital isn't; such texts keep capitals.
+            combining = pc.match_substring_regex(texts, _COMBINING)
+            texts = pc.replace_substring_regex(pc.if_else(combining, texts, pc.ascii_lower(texts)), _BEFORE_MARKS, r"\1 \2")
         lists = pc.split_pattern(texts, " ")
         pieces = lists.flatten().dictionary_encode()
         distinct, number = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()

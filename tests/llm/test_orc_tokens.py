@@ -32,6 +32,15 @@ def test_pieces_give_the_ids_of_whole_texts(texts):
     assert list(ids) == [i for x in texts for i in expected(x)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("HTWYJAhtwyja .,'\u0331\u0308\u030a\u030c\u0301\u0338<É"), max_size=20), max_size=4))
+def test_combining_marks_are_composed_before_lowering(texts):
+    texts = ["J\u030c", "Plain Text", *texts]
+    ids, lengths = ENCODER.encode(pa.array(texts, pa.string()))
+    assert list(lengths) == [len(expected(x)) for x in texts]
+    assert list(ids) == [i for x in texts for i in expected(x)]
+
+
 def test_special_tokens_and_long_pieces():
     texts = ["<|endoftext|>abc x<|startoftext|>", "<|ENDOFTEXT|> a.", "y" * 500 + " z", "", "don't 'S it's"]
     ids, _ = ENCODER.encode(pa.array(texts))
