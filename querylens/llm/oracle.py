@@ -114,8 +114,39 @@ SELECT conv_id AS pair_id, any_value(n_common) AS n_common,
 FROM p GROUP BY conv_id
 """
 
+# Tokens as a list, cut by slices; what is rebuilt is the text itself.
+FILL_IN_MIDDLE = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS tokens,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+    FROM documents
+), h AS (
+    SELECT *, len(tokens) AS n, CAST('0x' || digest[1:8] AS BIGINT) AS h1, CAST('0x' || digest[9:16] AS BIGINT) AS h2,
+        CAST('0x' || digest[17:24] AS BIGINT) AS h3, CAST('0x' || digest[25:32] AS BIGINT) AS h4
+    FROM d
+), c AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+             THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM h
+), p AS (
+    SELECT *, array_to_string(tokens[1:a], '') AS prefix, array_to_string(tokens[a + 1:b], '') AS middle,
+        array_to_string(tokens[b + 1:], '') AS suffix
+    FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text
+                     WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                     ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM p
+"""
+
 ORACLE_SQL = {
     "op4_decontaminate": DECONTAMINATE,
     "op6_preference": PREFERENCE,
     "op9_mix_sources": MIX,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
 }

@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from querylens.llm import dartminhash, decontaminate, fingerprint, langid, mixing, orc_tokens, pii, preference, toxicity, url_filter
+from querylens.llm import (
+    dartminhash,
+    decontaminate,
+    fill_in_middle,
+    fingerprint,
+    langid,
+    mixing,
+    orc_tokens,
+    pii,
+    preference,
+    toxicity,
+    url_filter,
+)
 from querylens.llm.common import fold, read_table
 from querylens.sources.scratch import scratch_path
 
@@ -110,6 +122,20 @@ def op10_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    again = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(again, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_orc_tokens": op2_orc_tokens,
@@ -121,4 +147,5 @@ QUERIES = {
     "op8_fingerprint": op8_fingerprint,
     "op9_mix_sources": op9_mix_sources,
     "op10_dartminhash": op10_dartminhash,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
