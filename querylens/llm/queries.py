@@ -17,6 +17,7 @@ from querylens.llm import (
     preference,
     toxicity,
     url_filter,
+    whitening,
 )
 from querylens.llm.common import fold, read_table
 from querylens.sources.scratch import scratch_path
@@ -136,6 +137,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_orc_tokens": op2_orc_tokens,
@@ -148,4 +153,5 @@ QUERIES = {
     "op9_mix_sources": op9_mix_sources,
     "op10_dartminhash": op10_dartminhash,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_whitening": op13_whitening,
 }
