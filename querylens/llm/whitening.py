@@ -28,7 +28,7 @@ from querylens.sources.scratch import materialize
 SCALE = 256
 COMPONENTS = 4
 
-_LIMB = 60  # bits of the lower part of a sum; the rest goes into a decimal
+_LIMB = 32  # bits of the lower part of a sum, so that a long holds it for 2^31 tasks; the rest goes into a decimal
 _PLANES_AT_ONCE = 32
 _ROWS_AT_ONCE = 1 << 14  # rows whose bit planes are held at a time
 

@@ -57,6 +57,18 @@ def test_equals_the_plain_version(spark):
     check(spark, vectors(300, 6, 1))
 
 
+def test_sums_of_many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        check(spark, vectors(200, 3, 8))
+    finally:
+        for name, value in (("spark.sql.adaptive.enabled", "true"), ("spark.sql.shuffle.partitions", "4")):
+            spark.conf.set(name, value)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_repeated_vectors_count_once(spark):
     rows = vectors(40, 5, 2)
     rows += [(1000 + i, rows[0][1]) for i in range(200)] + [(3, rows[3][1]), (None, rows[4][1])]
