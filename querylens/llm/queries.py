@@ -18,6 +18,7 @@ from querylens.llm import (
     toxicity,
     url_filter,
     whitening,
+    wrappers,
 )
 from querylens.llm.common import fold, read_table
 from querylens.sources.scratch import scratch_path
@@ -137,6 +138,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = wrappers.main_texts(read_table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -153,5 +159,6 @@ QUERIES = {
     "op9_mix_sources": op9_mix_sources,
     "op10_dartminhash": op10_dartminhash,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_main_text": op12_main_text,
     "op13_whitening": op13_whitening,
 }
