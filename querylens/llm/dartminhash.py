@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from querylens.llm.common import byte_words, text_chunks
-from querylens.operators.joins import BROADCAST_BYTES, measured_bytes
+from querylens.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
 from querylens.sources.scratch import materialize
 
 SHINGLE = 5
@@ -31,8 +31,8 @@ BANDS = 24
 ROWS = 5
 # Bits that mark which parts of the hash range a set's regions fall in; they tell most for sets up to about as many regions.
 MARKS = 1024
-# Turns of comparing each node with one other of each of its rare regions; they only save work of the last step.
-TURNS = 3
+# Pairs of one node that a single task may compare: each brings a set.
+HOT_PAIRS = 100_000
 
 _U = np.uint64
 _BLANK = 32
@@ -262,11 +262,15 @@ def _marks_fit(a: str, b: str, marks_a: str, marks_b: str, least: float) -> Colu
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The distinct ``pairs`` (a, b) whose sets are similar enough, as a stored table."""
-    left = sets.select(F.col("node").alias("a"), F.col("regions").alias("of_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("regions").alias("of_b"))
-    both = pairs.join(right, "b").join(left, "a")
-    return materialize(both.where(_similar(F.col("of_a"), F.col("of_b"), least)).select("a", "b"), "links")
+    """The stored ``pairs`` (a, b, root_a, root_b) whose sets are similar enough.
+
+    The pair's own columns are narrow when they meet the set of ``a``, which
+    may be the leader of a large bucket; then ``b``, which has few leaders.
+    """
+    left = sets.select(F.col("id").alias("a"), F.col("regions").alias("of_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("regions").alias("of_b"))
+    both = lookup_join(pairs, left, ["a"], "inner", hot_rows=HOT_PAIRS).join(right, "b")
+    return both.where(_similar(F.col("of_a"), F.col("of_b"), least)).select("root_a", "root_b")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -295,63 +299,73 @@ def connected(edges: DataFrame) -> DataFrame:
         roots = materialize(moved.join(jump, "new").select("node", F.least("new", "next").alias("root")), "roots")
 
 
-def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Members of buckets with the root of each and of its bucket's leader; a node without links is its own."""
-    if roots is None:
-        return shared.withColumns({"root": F.col("node"), "leader_root": F.col("leader")})
-    of_leader = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-    known = shared.join(roots, "node", "left").join(of_leader, "leader", "left")
-    return known.withColumns(
-        {"root": F.coalesce("root", "node"), "leader_root": F.coalesce("leader_root", "leader")}
-    )
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame | None:
+    """Stored ``roots`` (id, root) after joining the groups between which there are ``links``; None without links.
+
+    Only one link of each two groups goes on, and the groups are single nodes
+    to what connects them, so the graph shrinks with each call.
+    """
+    ends = [F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")]
+    edges = materialize(links.select(*ends).distinct(), "links")
+    if edges.isEmpty():
+        return None
+    new = connected(edges).select(F.col("node").alias("root"), F.col("root").alias("new"))
+    known = lookup_join(roots, new, ["root"])
+    return materialize(known.select("id", F.coalesce("new", "root").alias("root")), "groups")
 
 
 def _with_leaders(shared: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): leader and member of a bucket that aren't connected yet and may be similar, each pair once."""
-    far = shared.where((F.col("root") != F.col("leader_root")) & _sizes_fit("n", "leader_n", similarity))
-    return far.select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    """(a, b, root_a, root_b): each leader and member of a bucket that may be similar, once; each is its own root."""
+    far = shared.where((F.col("id") != F.col("leader")) & _sizes_fit("n", "leader_n", similarity))
+    pairs = far.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    return pairs.select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
+
+
+def _strangers(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id): all members of the buckets of which some member is not in the group of the leader, as a stored table."""
+    of_leader = roots.select(F.col("id").alias("leader"), F.col("root").alias("leader_root"))
+    known = lookup_join(shared.join(roots, "id"), of_leader, ["leader"])
+    mixed = materialize(known.where("root != leader_root").select("bucket").distinct(), "mixed-buckets")
+    return materialize(lookup_join(shared, mixed, ["bucket"], "inner").select("id").distinct(), "strangers")
 
 
-def _prefixes(shared: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, n, marks, left, region): where nodes of mixed buckets may meet, as a stored table.
+def _prefixes(strangers: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(id, n, marks, alone, prefix): the regions by which ``strangers`` may meet, as a stored table of one row for each.
 
     Many texts may share a passage, and so a bucket, without being similar. So
     the pairs of a bucket are not written out. Regions are put in order, rare
     ones first: similar sets have a region in common among the first ones, the
-    prefix of each, and there enough must be ``left`` in both for the
-    similarity. Regions that only one set has are dropped.
+    prefix of each. Regions that only one set has, ``alone``, come before all
+    others and are left out.
     """
-    mixed = shared.where("root != leader_root").select("bucket").distinct()
-    members = shared.join(mixed, "bucket").select("node", "n").distinct()
-    members = materialize(members.join(sets, "node").select("node", "n", "marks", "regions"), "strangers")
-    each = members.select("node", F.explode("regions").alias("region"))
+    members = sets.join(strangers, "id").select("id", F.size("regions").cast("long").alias("n"), "marks", "regions")
+    members = materialize(members, "members")
+    each = members.select("id", F.explode("regions").alias("region"))
     often = each.groupBy("region").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    ordered = each.join(often, "region").groupBy("node").agg(
+    ordered = each.join(often, "region").groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("often", "region"))).alias("ordered")  # as long as the set itself
     )
-    ordered = members.select("node", "n", "marks").join(ordered, "node")
+    ordered = members.select("id", "n", "marks").join(ordered, "id")
     alone = F.col("n") - F.size("ordered")
     prefix = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
-    ordered = ordered.withColumns({"alone": alone, "first": F.greatest(prefix - alone, F.lit(0)).cast("int")})
-    ordered = ordered.withColumn("ordered", F.slice("ordered", F.lit(1), F.col("first")))
-    found = ordered.select("node", "n", "marks", "alone", F.posexplode("ordered").alias("place", "at"))
+    first = F.greatest(prefix - alone, F.lit(0)).cast("int")
+    regions = F.slice(F.col("ordered.region"), F.lit(1), first)
+    return materialize(ordered.select("id", "n", "marks", alone.alias("alone"), regions.alias("prefix")), "prefixes")
+
+
+def _meeting(prefixes: DataFrame, roots: DataFrame) -> DataFrame:
+    """A row for each node and region of its prefix in which several groups meet, as a stored table.
+
+    ``left`` is the part of the node's set from the region on, and ``top`` the
+    root of most members of the region. Roots are looked up by node before the
+    prefixes are laid out, so a long text is one row there.
+    """
+    rows = prefixes.join(roots, "id").select("id", "root", "n", "marks", "alone", F.posexplode("prefix").alias("place", "region"))
     left = F.col("n") - F.col("alone") - F.col("place")
-    return materialize(found.select("node", "n", "marks", left.alias("left"), "at.region"), "prefixes")
-
-
-def _meeting(prefixes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Rows of ``prefixes`` with their root, and the root most members of the region have, where there are several."""
-    if roots is None:
-        known = prefixes.withColumn("root", F.col("node"))
-    else:
-        known = prefixes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    known = materialize(known, "prefix-roots")
-    groups = known.groupBy("region", "root").agg(F.count(F.lit(1)).alias("members"))
-    largest = groups.groupBy("region").agg(
-        F.max(F.struct("members", "root")).alias("top"), F.count(F.lit(1)).alias("groups")
-    )
-    largest = largest.where("groups > 1").select("region", F.col("top.root").alias("top"))
-    return materialize(known.join(largest, "region"), "meeting")
+    rows = materialize(rows.select("id", "root", "n", "marks", left.alias("left"), "region"), "prefix-roots")
+    groups = rows.groupBy("region", "root").agg(F.count(F.lit(1)).alias("members"))
+    largest = groups.groupBy("region").agg(F.max_by("root", "members").alias("top"), F.count(F.lit(1)).alias("groups"))
+    return materialize(rows.join(largest.where("groups > 1").select("region", "top"), "region"), "meeting")
 
 
 def _may_be_similar(similarity: float) -> Column:
@@ -361,77 +375,75 @@ def _may_be_similar(similarity: float) -> Column:
     return (F.col("root") != F.col("o_root")) & fit
 
 
-_OTHER = ("region", "o_node", "o_root", "o_n", "o_marks", "o_left")
+_OTHER = ("region", "o_id", "o_root", "o_n", "o_marks", "o_left")
 
 
 def _each_once(both: DataFrame) -> DataFrame:
-    return both.select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
+    first = F.col("id") < F.col("o_id")
+
+    def ordered(name: str, other: str) -> list[Column]:
+        return [F.when(first, F.col(name)).otherwise(F.col(other)), F.when(first, F.col(other)).otherwise(F.col(name))]
+
+    (a, b), (root_a, root_b) = ordered("id", "o_id"), ordered("root", "o_root")
+    return both.select(a.alias("a"), b.alias("b"), root_a.alias("root_a"), root_b.alias("root_b")).distinct()
 
 
-def _with_one_of_each_region(meeting: DataFrame, similarity: float, turn: int) -> DataFrame:
-    """(a, b): each node with one other of each of its regions, another one each turn."""
-    row = F.struct(F.xxhash64("node", "region", F.lit(turn)).alias("draw"), "node", "root", "n", "marks", "left")
-    drawn = meeting.groupBy("region").agg(F.min(row).alias("r"))
-    drawn = drawn.select("region", "r.node", "r.root", "r.n", "r.marks", "r.left").toDF(*_OTHER)
+def _with_one_of_each_region(meeting: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of each node with one other of each of its regions."""
+    drawn = meeting.groupBy("region").agg(F.min_by("id", F.xxhash64("id", "region")).alias("id"))
+    drawn = meeting.join(drawn, ["region", "id"]).select("region", "id", "root", "n", "marks", "left").toDF(*_OTHER)
     return _each_once(meeting.join(drawn, "region").where(_may_be_similar(similarity)))
 
 
 def _with_all_of_each_region(meeting: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): all that may be similar; one of the two is outside its region's largest group."""
-    others = meeting.where("root != top").select("region", "node", "root", "n", "marks", "left").toDF(*_OTHER)
+    """Pairs of all that may be similar; one of the two is outside its region's largest group."""
+    others = meeting.where("root != top").select("region", "id", "root", "n", "marks", "left").toDF(*_OTHER)
     return _each_once(meeting.join(others, "region").where(_may_be_similar(similarity)))
 
 
-def _candidate_sets(rows: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame:
-    """(node, regions, marks) of all nodes in shared buckets, as a stored table.
+def _candidate_sets(rows: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """(id, regions, marks) of the nodes ``members``, as a stored table.
 
-    The texts are read once more, only those of each node's smallest id.
+    The texts are read once more, only those of each node's smallest document id.
     """
-    members = materialize(shared.select("node").distinct(), "members")
-    ids = materialize(nodes.join(members, "node").select("doc_id").distinct(), "candidate-ids")
-    if measured_bytes(ids) <= BROADCAST_BYTES:
-        ids = F.broadcast(ids)
-    ids = ids.select(F.col("doc_id").alias("wanted"))
-    texts = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-    sets = weighted_sets(texts, "text").join(members, "node", "left_semi")
-    return materialize(sets.dropDuplicates(["node"]), "sets")
+    candidates = materialize(nodes.join(members, "id").select("id", "node", "doc_id"), "candidates")
+    wanted = materialize(candidates.select("doc_id").distinct(), "candidate-ids")
+    if measured_bytes(wanted) <= BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)
+    wanted = wanted.select(F.col("doc_id").alias("wanted"))
+    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    sets = weighted_sets(texts, "text").join(candidates.select("id", "node"), "node")
+    return materialize(sets.select("id", "regions", "marks").dropDuplicates(["id"]), "sets")
 
 
 def links(nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame | None:
-    """(node, root) of all nodes that are linked with another, None if there are none.
+    """(id, root) of all nodes that share a bucket, None if there are none; linked nodes have the same root.
 
-    Each node is compared with the smallest leader of its buckets, then with
-    all its leaders, then with one node of each rare region it shares, in a
-    few turns, and at last with all that may be similar still. Pairs that are
-    connected already are never compared, so little is left for the last step,
-    which makes the result exact whatever the turns before it found.
+    Each node is compared with the leaders of its buckets, then with one node
+    of each rare region it shares, and at last with all that may be similar
+    still. Pairs that are connected already are not compared from the second
+    step on, so little is left for the last, which makes the result exact
+    whatever the steps before it found.
     """
-    bucket = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    first = F.min(F.struct("node", "n")).alias("first")
-    leaders = bucket.groupBy("bucket").agg(first, F.count(F.lit(1)).alias("members")).where("members > 1")
-    leaders = leaders.select("bucket", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n"))
-    shared = materialize(bucket.join(leaders, "bucket"), "buckets")
-    if shared.isEmpty():
+    bucket = nodes.select("id", "n", F.explode("bands").alias("bucket"))
+    first = [F.min("id").alias("leader"), F.min_by("n", "id").alias("leader_n")]
+    leaders = bucket.groupBy("bucket").agg(*first, F.count(F.lit(1)).alias("members")).where("members > 1")
+    leaders = materialize(leaders.select("bucket", "leader", "leader_n"), "leaders")
+    if leaders.isEmpty():
         return None
-    sets = _candidate_sets(rows, nodes, shared)
-    found, roots = None, None
-
-    def compare(pairs: DataFrame) -> bool:
-        """Add the links among ``pairs``; False if there are none."""
-        nonlocal found, roots
-        more = _verified(materialize(pairs, "pairs"), sets, similarity)
-        if more.isEmpty():
-            return False
-        found = more if found is None else found.unionByName(more)
-        roots = connected(found)
-        return True
-
-    compare(_with_leaders(_with_roots(shared, roots), similarity).groupBy("b").agg(F.min("a").alias("a")))
-    compare(_with_leaders(_with_roots(shared, roots), similarity).distinct())
-    prefixes = _prefixes(materialize(_with_roots(shared, roots), "members"), sets, similarity)
-    for turn in range(TURNS):
-        if not compare(_with_one_of_each_region(_meeting(prefixes, roots), similarity, turn)):
-            break
+    shared = materialize(lookup_join(bucket, leaders, ["bucket"], "inner"), "buckets")
+    members = materialize(shared.select("id").distinct(), "members")
+    sets = _candidate_sets(rows, nodes, members)
+    roots = members.select("id", F.col("id").alias("root"))
+
+    def compare(pairs: DataFrame) -> None:
+        nonlocal roots
+        found = _joined(roots, _verified(materialize(pairs, "pairs"), sets, similarity))
+        roots = roots if found is None else found
+
+    compare(_with_leaders(shared, similarity))
+    prefixes = _prefixes(_strangers(shared, roots), sets, similarity)
+    compare(_with_one_of_each_region(_meeting(prefixes, roots), similarity))
     compare(_with_all_of_each_region(_meeting(prefixes, roots), similarity))
     return roots
 
@@ -459,13 +471,14 @@ def near_duplicates(
     # One row per weighted set: copies go no further than this aggregate, which is combined before the shuffle.
     same = signed.where("node is not null").groupBy("node")
     nodes = same.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    nodes = materialize(nodes, "nodes")
+    # Stored, so each node keeps its number; 64 bits are enough for numbers, while hashes of so many could meet.
+    nodes = materialize(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     roots = links(nodes, texts, similarity)
-    classes = nodes.select("node", F.col("doc_id").alias("class_id"))
+    classes = nodes.select("id", "node", F.col("doc_id").alias("class_id"))
     if roots is not None:
-        smallest = classes.join(roots, "node").groupBy("root").agg(F.min("class_id").alias("smallest"))
-        smallest = roots.join(materialize(smallest, "smallest"), "root").select("node", "smallest")
-        classes = classes.join(smallest, "node", "left")
+        smallest = classes.join(roots, "id").groupBy("root").agg(F.min("class_id").alias("smallest"))
+        smallest = lookup_join(roots, materialize(smallest, "smallest"), ["root"]).select("id", "smallest")
+        classes = classes.join(smallest, "id", "left")
         classes = classes.select("node", F.coalesce("smallest", "class_id").alias("class_id"))
     rows_out = signed.select("doc_id", "node").join(classes, "node", "left")
     alone = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
