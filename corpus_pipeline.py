@@ -16,7 +16,12 @@ from querylens.sources.scratch import materialize
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined; those without a letter and those no language fits go."""
+    """Documents whose language is determined; those without a letter and those no language fits go.
+
+    So NULL and empty texts go. Equal texts stay or go together, each row for
+    itself. If no row has a language to learn from, all with a letter stay. An
+    empty table stays empty.
+    """
     return langid.identified(docs, langid.fit(docs.select("text", "lang")))
 
 
@@ -24,9 +29,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
     Documents without an id or without words stay. Rows with the same id and
-    text are one document; the first in the order of their other columns
-    stays. Rows with the same id and different texts stay or go together, and
-    stay if one of them stands for its group.
+    text are one document; the one whose other columns come first when written
+    as JSON stays, whatever their types. Rows with the same id and different
+    texts stay or go together, and stay if one of them stands for its group.
+    An empty table stays empty.
     """
     classes = dartminhash.near_duplicates(docs).where("doc_id is not null")
     ids = classes.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("class_id")).alias("copy"), F.count(F.lit(1)).alias("n"))
@@ -36,23 +42,41 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if repeated.isEmpty():
         return kept.select(*docs.columns)
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    several = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("rest"))
-    several = several.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.{c}") for c in docs.columns])
+    several = kept.join(repeated, "doc_id", "left_semi")
+    if rest:
+        others = F.struct(*rest)
+        several = several.groupBy("doc_id", "text").agg(F.min_by(others, F.to_json(others)).alias("others"))
+    else:
+        several = several.distinct()
+    several = several.select(*[F.col(c) if c in ("doc_id", "text") else F.col("others").getField(c).alias(c) for c in docs.columns])
     return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(several)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no passage of the benchmark occurs."""
+    """Documents in which no passage of the benchmark occurs.
+
+    NULL and empty texts hold none and stay, rows with the same id each for
+    itself. With an empty benchmark all stay.
+    """
     return decontaminate.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents as often as their source's target takes them."""
+    """The mix: documents as often as their source's target takes them.
+
+    Documents without a word, NULL texts included, count nothing. A NULL
+    source is a source like the others. Rows with equal ids and texts are
+    taken as often as each other. An empty table stays empty.
+    """
     return mixing.mix(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in the token files, as read back from them."""
+    """The documents in the token files, as read back from them, a row for each time the mix takes one.
+
+    A NULL or empty text is its end token alone. NULL ids come first. An empty
+    table makes no rows.
+    """
     return token_rows(spark, docs)
 
 
