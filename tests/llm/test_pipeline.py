@@ -89,3 +89,12 @@ def test_nulls_and_rows_of_one_id(spark, corpus):
     docs = spark.createDataFrame(rows, COLUMNS)
     alone = corpus_pipeline.near_dedup(spark, docs, folder).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in alone) == sorted([(0, text), (0, ""), (1, text), (1, rows[-1][1])])
+
+
+def test_repeated_documents_with_any_other_columns(spark):
+    rows = [(1, "one two three four five six", {"k": 2}), (1, "one two three four five six", {"k": 1}), (2, "another text", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more map<string, int>")
+    kept = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.more) for r in kept) == [(1, {"k": 1}), (2, None)]
+    alone = corpus_pipeline.near_dedup(spark, docs.select("text", "doc_id"), "").collect()
+    assert sorted(tuple(r) for r in alone) == [("another text", 2), ("one two three four five six", 1)]
