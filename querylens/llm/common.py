@@ -17,6 +17,10 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CHUNK_TEXTS = 512
 CHUNK_BYTES = 1 << 20
 
+# Bytes of the batches that Spark hands to Arrow code; a worker and Spark's side of it hold a few of them at a time.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -78,6 +82,17 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = end
 
 
+def limit_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session end at ``BATCH_BYTES``, or sooner if the session says so.
+
+    Spark reads the setting when a result is computed, so it stays as it is
+    now. A batch of 10,000 rows may hold any number of long texts otherwise.
+    """
+    number, unit = re.fullmatch(r"(\d+)([a-z]?).*", spark.conf.get(_BATCH_SETTING).lower()).groups()
+    if int(number) << 10 * "bkmgt".index(unit or "b") > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 def add_columns(
     df: DataFrame, fields: Sequence[T.StructField], compute: Callable[[pa.RecordBatch], Sequence[pa.Array]]
 ) -> DataFrame:
@@ -85,6 +100,7 @@ def add_columns(
 
     A column of ``df`` with the name of a new one is replaced, as ``withColumn`` does.
     """
+    limit_batches(df.sparkSession)
     new = {f.name.lower() for f in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
     schema = T.StructType([*kept, *fields])

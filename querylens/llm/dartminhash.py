@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from querylens.llm.common import byte_words, text_chunks
+from querylens.llm.common import byte_words, limit_batches, text_chunks
 from querylens.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
 from querylens.sources.scratch import materialize
 
@@ -179,6 +179,7 @@ def _marks(region: np.ndarray, doc: np.ndarray, n_docs: int) -> pa.Array:
 
 
 def _with_arrow(df: DataFrame, text: str, fields: list[T.StructField], make) -> DataFrame:
+    limit_batches(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name != text]
     schema = T.StructType([*kept, *fields])
 
