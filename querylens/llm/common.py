@@ -82,6 +82,27 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = end
 
 
+# What a worker process keeps from one task to the next, for one operator at a time.
+_KEPT: dict[str, object] = {}
+
+
+def kept_for(owner: str, make: Callable[[], object]) -> object:
+    """What this worker keeps for ``owner``, made if it isn't there; what it keeps for others is let go."""
+    for other in [*_KEPT]:
+        if other != owner:
+            del _KEPT[other]
+    if owner not in _KEPT:
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
+def keep_nothing() -> None:
+    """Let go what this worker keeps. Workers outlive the operator they worked for."""
+    if _KEPT:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def limit_batches(spark: SparkSession) -> None:
     """Let Arrow batches of this session end at ``BATCH_BYTES``, or sooner if the session says so.
 
@@ -107,6 +128,7 @@ def add_columns(
     names = [f.name for f in kept]
 
     def run(batches):
+        keep_nothing()
         for batch in batches:
             made = compute(batch)
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from querylens.llm.common import byte_words, limit_batches, text_chunks
+from querylens.llm.common import byte_words, keep_nothing, limit_batches, text_chunks
 from querylens.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
 from querylens.sources.scratch import materialize
 
@@ -184,6 +184,7 @@ def _with_arrow(df: DataFrame, text: str, fields: list[T.StructField], make) ->
     schema = T.StructType([*kept, *fields])
 
     def run(batches):
+        keep_nothing()
         for batch in batches:
             index = {f.name: i for i, f in enumerate(batch.schema)}
             at = 0

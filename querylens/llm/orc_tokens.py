@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 
 from tokenizers import Tokenizer, pre_tokenizers
 
-from querylens.llm.common import add_columns
+from querylens.llm.common import add_columns, kept_for
 
 END_ID = 1
 STRIPE_BYTES = 16 << 20
@@ -166,16 +166,6 @@ class TextEncoder:
         return np.concatenate([np.empty(0, self.type), *found]), np.array([len(x) for x in found], np.int64)
 
 
-_ENCODERS: dict[str, TextEncoder] = {}
-
-
-def _encoder(path: str) -> TextEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = TextEncoder(path)
-    return _ENCODERS[path]
-
-
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = END_ID) -> DataFrame:
     """``docs`` with ``tokens`` in place of the text, ``n_tokens``, and ``file_start``: the tokens before it in its task.
 
@@ -186,7 +176,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = EN
     schema = T.StructType([*kept, *_FIELDS])
 
     def run(batches):
-        encoder, start = _encoder(tokenizer), 0
+        encoder, start = kept_for(f"encoder of {tokenizer}", lambda: TextEncoder(tokenizer)), 0
         for batch in batches:
             index = {f.name: i for i, f in enumerate(batch.schema)}
             ends = np.cumsum(pc.binary_length(batch.column(index[text])).fill_null(0).to_numpy(), dtype=np.int64)
