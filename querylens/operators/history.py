@@ -6,16 +6,13 @@ import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from querylens.operators.joins import BROADCAST_BYTES, HOT_ROWS, lookup_join
 from querylens.sources.scratch import materialize
 
-DAY_SECONDS = 86_400
-
-# Rows of one key that a single task is meant to sort, and how far a slice may exceed that.
+# Rows of one key that a single task is meant to sort.
 SLICE_ROWS = 2_000_000
-SLICE_EXCESS = 4
 
 
 # --- dated snapshots -------------------------------------------------------
@@ -51,34 +48,55 @@ def snapshot_in_effect(
     return lookup_join(facts, effective, keys, how, max_bytes=max_bytes, hot_rows=hot_rows)
 
 
-# --- carrying values along a key's rows ------------------------------------
+def snapshots_in_effect(
+    facts: DataFrame,
+    snapshots: DataFrame,
+    keys: Sequence[str],
+    date: str,
+    how: str = "inner",
+    max_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join each fact with the last snapshot taken on or before its own ``date``.
+
+    A snapshot is all rows of one ``snapshot_date``, so which one is in effect
+    depends on the day alone. The days that occur and the snapshots' dates are
+    put in one order, a list as long as the calendar, and each day gets the
+    date before it; the facts look theirs up, and then join on the keys and
+    that date. A fact without a date, or before the first snapshot, has none:
+    with ``how="left"`` it stays with a NULL ``snapshot_date``. So does one
+    whose key the snapshot in effect doesn't have, with that snapshot's date.
+    """
+    day = F.to_date(date)
+    taken = snapshots.select(F.col("snapshot_date").alias("_day"), F.col("snapshot_date").alias("_taken")).distinct()
+    days = facts.select(day.alias("_day")).where("_day is not null").distinct()
+    line = days.join(taken, "_day", "full").withColumn("_part", F.lit(0))  # one row per day
+    before = Window.partitionBy("_part").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    calendar = line.select("_day", F.last("_taken", ignorenulls=True).over(before).alias("snapshot_date"))
+    calendar = materialize(calendar.where("snapshot_date is not null"), "calendar")
+    dated = lookup_join(facts.withColumn("_day", day), calendar, ["_day"], how, max_bytes=max_bytes, hot_rows=hot_rows)
+    return lookup_join(
+        dated.drop("_day"), snapshots, [*keys, "snapshot_date"], how, max_bytes=max_bytes, hot_rows=hot_rows
+    )
 
 
-def _seconds(df: DataFrame, time: str) -> Column:
-    """A whole number that never falls as ``time`` rises."""
-    kind = df.schema[time].dataType
-    c = F.col(time)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_seconds(c)
-    days = F.datediff(c, F.lit(datetime.date(1970, 1, 1))).cast("bigint") * DAY_SECONDS
-    if isinstance(kind, T.TimestampNTZType):
-        return days + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    return days
+# --- carrying values along a key's rows ------------------------------------
 
 
 @dataclass(frozen=True)
 class _Sliced:
-    """Rows with the ``_slice`` of their key's time line in which they are sorted."""
+    """Rows with the ``_slice`` of their key's line in which they are sorted; NULL for keys that are sorted as a whole."""
 
     rows: DataFrame
     keys: tuple[str, ...]
+    heavy: bool  # whether any key has slices
 
     def carry(self, value: Column, order: Sequence[str], out: str, inclusive: bool, backward: bool) -> DataFrame:
         """Add the last non-NULL ``value`` before each row of its key, or after it if ``backward``.
 
         Each slice of a key is sorted on its own. What its rows need from
         other slices is the last value of the nearest slice that has one: one
-        row per key and slice, small enough to go along the whole key.
+        row per slice, of heavy keys alone. Without any there is one window.
         """
 
         def run(*columns: str) -> list[Column]:
@@ -86,38 +104,69 @@ class _Sliced:
 
         inside = Window.partitionBy(*self.keys, "_slice").orderBy(*run(*order))
         inside = inside.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        carried = self.rows.withColumn(out, F.last(value, ignorenulls=True).over(inside))
+        if not self.heavy:
+            return carried
         ends = F.min_by if backward else F.max_by
         position = F.when(value.isNotNull(), F.struct(*order))
-        edges = self.rows.groupBy(*self.keys, "_slice").agg(ends(value, position).alias("_edge"))
+        cut = self.rows.where("_slice is not null")
+        edges = cut.groupBy(*self.keys, "_slice").agg(ends(value, position).alias("_edge"))
         across = Window.partitionBy(*self.keys).orderBy(*run("_slice"))
         across = across.rowsBetween(Window.unboundedPreceding, -1)
-        carried = edges.select(*self.keys, "_slice", F.last("_edge", ignorenulls=True).over(across).alias("_carried"))
-        return (
-            self.rows.withColumn(out, F.last(value, ignorenulls=True).over(inside))
-            .join(carried.where(F.col("_carried").isNotNull()), [*self.keys, "_slice"], "left")
-            .withColumn(out, F.coalesce(out, "_carried"))
-            .drop("_carried")
-        )
+        edges = edges.select(*self.keys, "_slice", F.last("_edge", ignorenulls=True).over(across).alias("_carried"))
+        edges = materialize(edges.where(F.col("_carried").isNotNull()), "edges")
+        return carried.join(edges, [*self.keys, "_slice"], "left").withColumn(out, F.coalesce(out, "_carried")).drop("_carried")
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int, n: int | None = None) -> DataFrame:
+    """(_key, n): hashes of the keys with more than ``rows`` of the ``n`` rows of ``df``, as a stored table.
+
+    A summary of frequent items, counted by each task and merged, names all
+    keys that may have so many, at most some eight times n / rows; only those are
+    counted exactly, in a second pass. So what is shuffled follows from the
+    number of heavy keys and not from that of all keys. Above a million
+    counters ``rows`` counts as n / 125,000. Rows with a NULL in a key have
+    one like others. Two keys with the same hash count as one.
+    """
+    n = df.count() if n is None else n
+    counters = max(_LEAST_COUNTERS, min(_MOST_COUNTERS, -(-_COUNTERS_EACH * n // rows)))
+    least = max(rows, _COUNTERS_EACH * n // counters)
+    hashed = df.select(F.xxhash64(*keys).alias("_key"))
+    frequent = hashed.agg(F.expr(f"approx_top_k(_key, {counters}, {counters})").alias("found"))
+    frequent = frequent.select(F.explode("found.item").alias("_key"))
+    frequent = F.broadcast(materialize(frequent, "frequent-keys"))  # a million longs at most
+    counts = hashed.join(frequent, "_key", "left_semi").groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(counts.where(F.col("n") > least), "heavy-keys")
+
+
+# A key is sure to be in the summary if its rows are more than 7 n / counters.
+_COUNTERS_EACH = 8
+_LEAST_COUNTERS = 100
+_MOST_COUNTERS = 1_000_000
 
 
 def _slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int) -> _Sliced:
-    """Cut each key's rows, which run along ``order``, into slices of about ``slice_rows``.
+    """Cut the rows of keys with more than ``slice_rows`` into about as many slices of that size, along ``order``.
 
-    Slices of equal time do, and need no shuffle, unless some key has far too
-    many rows in one. Then the rows are cut at sampled points of their order,
-    which holds however they lie.
+    All other keys are left whole, however many there are. The heavy ones are
+    cut at sampled quantiles of their own order, so a key all of whose rows
+    have the same time is cut as well, by what else the order has.
     """
-    at = _seconds(df, order[0])
-    row = df.agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n")).first()
-    if row["n"] <= slice_rows:
-        return _Sliced(df.withColumn("_slice", F.lit(0).cast("bigint")), tuple(keys))
-    span = (row["last"] or 0) - (row["first"] or 0) + 1
-    by_time = df.withColumn("_slice", F.floor(at / max(1, span * slice_rows // row["n"])))
-    largest = by_time.groupBy(*keys, "_slice").count().agg(F.max("count")).first()[0]
-    if largest <= SLICE_EXCESS * slice_rows:
-        return _Sliced(by_time, tuple(keys))
-    cut = df.repartitionByRange(-(-row["n"] // slice_rows), *keys, *order)
-    return _Sliced(materialize(cut.withColumn("_slice", F.spark_partition_id()), "slices"), tuple(keys))
+    whole = _Sliced(df.withColumn("_slice", F.lit(None).cast("int")), tuple(keys), heavy=False)
+    n = df.count()
+    if n <= slice_rows:
+        return whole
+    heavy = heavy_keys(df, keys, slice_rows, n)
+    rows = heavy.agg(F.sum("n")).first()[0]
+    if rows is None:
+        return whole
+    heavy = F.broadcast(heavy.select("_key"))  # n / slice_rows rows at most
+    hashed = df.withColumn("_key", F.xxhash64(*keys))
+    cut = hashed.join(heavy, "_key", "left_semi").drop("_key")
+    cut = cut.repartitionByRange(max(2, -(-rows // slice_rows)), *keys, *order)
+    cut = materialize(cut.withColumn("_slice", F.spark_partition_id()), "slices")
+    light = hashed.join(heavy, "_key", "left_anti").drop("_key").withColumn("_slice", F.lit(None).cast("int"))
+    return _Sliced(light.unionByName(cut), tuple(keys), heavy=True)
 
 
 # --- Type-2 intervals ------------------------------------------------------
@@ -140,10 +189,11 @@ def scd2_intervals(
     known = observations.dropna(subset=list(keys)).select(*keys, time, *order, *attributes)
     ordering = [time, *order]
     state = F.struct(*attributes)
-    seen = _slice(known, keys, ordering, slice_rows).carry(state, ordering, "_before", inclusive=False, backward=False)
+    sliced = _slice(known, keys, ordering, slice_rows)
+    seen = sliced.carry(state, ordering, "_before", inclusive=False, backward=False)
     changes = seen.where(~F.col("_before").eqNullSafe(state)).drop("_before")
     changes = materialize(changes, "changes")
-    ended = _Sliced(changes, tuple(keys)).carry(
+    ended = _Sliced(changes, tuple(keys), sliced.heavy).carry(
         F.col(time), ordering, "effective_end_date", inclusive=False, backward=True
     )
     return ended.select(*keys, *attributes, F.col(time).alias("effective_start_date"), "effective_end_date")

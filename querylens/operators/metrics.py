@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from querylens.operators.history import snapshots_in_effect
 from querylens.operators.joins import BROADCAST_BYTES, lookup_join
 from querylens.operators.shares import percent, share_of_total
 from querylens.sources.scratch import materialize
@@ -19,26 +22,26 @@ UNIFIED = ("grain", "restaurant_id", "cuisine", "search_type", "domain", *METRIC
 _SUMS = ("search_query_count", "total_clicks", "total_impressions", "position_weight")
 
 
-def collapse_queries(queries: DataFrame) -> DataFrame:
-    """One row per restaurant, domain and query, with its sums.
+def collapse_queries(queries: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per restaurant, domain and query, with its sums; for each value of ``by``.
 
     The class of a query depends on nothing else, so classifying these rows
     instead of the raw ones gives the same metrics. The distinct count needs
     this grouping anyway, so it adds no shuffle.
     """
-    return queries.groupBy("restaurant_id", "domain", "query").agg(
+    return queries.groupBy(*by, "restaurant_id", "domain", "query").agg(
         F.sum("clicks").alias("clicks"),
         F.sum("impressions").alias("impressions"),
         F.sum(F.col("position") * F.col("impressions")).alias("position_weight"),
     )
 
 
-def entity_totals(classified: DataFrame) -> DataFrame:
-    """Additive sums per restaurant, domain and search type, from raw or collapsed rows."""
+def entity_totals(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Additive sums per restaurant, domain and search type, from raw or collapsed rows; for each value of ``by``."""
     weight = F.col("position_weight" if "position_weight" in classified.columns else "_weight")
     if "position_weight" not in classified.columns:
         classified = classified.withColumn("_weight", F.col("position") * F.col("impressions"))
-    return classified.groupBy("restaurant_id", "domain", "search_type").agg(
+    return classified.groupBy(*by, "restaurant_id", "domain", "search_type").agg(
         F.count_distinct("query_raw").alias("search_query_count"),
         F.sum("clicks").alias("total_clicks"),
         F.sum("impressions").alias("total_impressions"),
@@ -96,6 +99,25 @@ def attributed_metrics(totals: DataFrame, labels: DataFrame, distinct: DataFrame
     return _present(_with_window_shares(_with_rates(summed), Window.partitionBy("cuisine")), "cuisine")
 
 
+def asof_metrics(classified: DataFrame, snapshots: DataFrame, date: str) -> DataFrame:
+    """Cuisine grain for each ``date``, by the cuisines the restaurants had on that date.
+
+    ``snapshots`` are labels with the ``snapshot_date`` they were stored on.
+    Every cuisine that the snapshot in effect lists for a restaurant gets the
+    restaurant's full sums of that date, as often as it is listed. Shares are
+    within the date and cuisine. Rows before the first snapshot, and of
+    restaurants that it doesn't have, belong to no cuisine and are left out.
+    """
+    totals = entity_totals(classified, [date])
+    by_entity = totals.groupBy(date, "restaurant_id", "search_type").agg(*_sums())
+    listed = snapshots.groupBy("snapshot_date", "restaurant_id", "cuisine").agg(F.count(F.lit(1)).alias("times"))
+    expanded = snapshots_in_effect(materialize(by_entity, "dated-totals"), materialize(listed, "listed"), ["restaurant_id"], date)
+    sums = [F.sum(F.col(c) * F.col("times")).alias(c) for c in _SUMS]
+    summed = expanded.groupBy(date, "snapshot_date", "cuisine", "search_type").agg(*sums)
+    shares = _with_window_shares(_with_rates(summed), Window.partitionBy(date, "cuisine"))
+    return shares.select(date, "snapshot_date", "cuisine", "search_type", *METRICS)
+
+
 def global_metrics(totals: DataFrame, distinct: DataFrame | None = None) -> DataFrame:
     """Global grain: one row per search type, from the restaurants so that no cuisine counts twice."""
     summed = _with_distinct(totals.groupBy("search_type").agg(*_sums()), ["search_type"], distinct)

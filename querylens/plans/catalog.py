@@ -31,6 +31,8 @@ SPLIT_TIME = "2024-01-20 00:00:00"
 ARRIVALS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 SNAPSHOT_DATES = tuple(datetime.date(2024, 1, day) for day in (8, 15, 22, 29))
 AS_OF = datetime.date(2024, 1, 18)
+# Rows of a user beyond which the line of events is cut, so that some users are cut at every scale.
+SMALL_SLICE = 50
 
 QUERY, BRAND, RAW = "query_cleaned", "domain_name_cleaned", "query_raw"
 
@@ -39,7 +41,7 @@ QUERY, BRAND, RAW = "query_cleaned", "domain_name_cleaned", "query_raw"
 
 
 def flat_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shapes.search_queries(spark, sf_dir).drop("l_orderkey")
+    return shapes.search_queries(spark, sf_dir).drop("l_orderkey", "reported")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,12 +336,26 @@ def q_scd2_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_text_times(_intervals(events(spark, sf_dir)), "effective_start_date", "effective_end_date")
 
 
-def q_scd2_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = events(spark, sf_dir)
-    purchase = F.col("event_type") == "purchase"
-    facts = source.where(purchase).select("user_id", "event_id", "ts", "value")
-    joined = history.scd2_join(facts, _intervals(source.where(~purchase)), ["user_id"], "ts")
-    return _with_text_times(joined, "ts", "effective_start_date", "effective_end_date")
+def _interval_join(how: str, slice_rows: int) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = events(spark, sf_dir)
+        purchase = F.col("event_type") == "purchase"
+        facts = source.where(purchase).select("user_id", "event_id", "ts", "value")
+        joined = history.scd2_join(facts, _intervals(source.where(~purchase)), ["user_id"], "ts", how, slice_rows)
+        return _with_text_times(joined, "ts", "effective_start_date", "effective_end_date")
+
+    return run
+
+
+def q_asof_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cuisine metrics of each month by the cuisines stored last before it."""
+    labelled = labels(spark, sf_dir)
+    path = scratch_path(spark, "cuisine-snapshots")
+    shapes.dated_labels(labelled).write.partitionBy("snapshot_date").parquet(path)
+    queries = metrics.collapse_queries(shapes.search_queries(spark, sf_dir), ["reported"])
+    classified = classify_queries(queries, label_names(labelled), with_score=False)
+    found = metric_rows(metrics.asof_metrics(classified, spark.read.parquet(path), "reported"))
+    return found.withColumns({c: F.col(c).cast("string") for c in ("reported", "snapshot_date")})
 
 
 # --- checks ----------------------------------------------------------------
@@ -418,6 +434,9 @@ QUERIES: dict[str, Query] = {
     "stream_upsert": q_stream_upsert,
     "snapshot_in_effect": q_snapshot_in_effect,
     "scd2_intervals": q_scd2_intervals,
-    "scd2_join": q_scd2_join,
+    "scd2_join": _interval_join("inner", history.SLICE_ROWS),
+    "scd2_join_slices": _interval_join("inner", SMALL_SLICE),
+    "scd2_join_left": _interval_join("left", SMALL_SLICE),
+    "asof_metrics": q_asof_metrics,
     "quality_report": q_quality_report,
 }

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from querylens.functions import text
 from querylens.functions.brands import EXCLUSIONS, GENERIC_QUERIES, OVERRIDES, Rule
 from querylens.operators.quality import CHECKS
-from querylens.plans.shapes import ORDERS_PER_DOCUMENT, RULE_CASES
+from querylens.plans.shapes import ORDERS_PER_DOCUMENT, RULE_CASES, SET_DATES
 
 
 def _pct(part: str, whole: str) -> str:
@@ -61,7 +61,8 @@ brands AS (
 
 _FLAT = f"""{_BRANDS},
 flat AS (
-  SELECT l_suppkey AS restaurant_id, domain, l_orderkey // {ORDERS_PER_DOCUMENT} AS chunk, {_MEASURES},
+  SELECT l_suppkey AS restaurant_id, domain, l_orderkey // {ORDERS_PER_DOCUMENT} AS chunk,
+         CAST(date_trunc('month', l_shipdate) AS DATE) AS reported, {_MEASURES},
          CASE l_linenumber
            WHEN 1 THEN p_name WHEN 2 THEN p_name || ' near me' WHEN 3 THEN p_name || ' menu' WHEN 4 THEN p_name || ' $20'
            WHEN 5 THEN split_part(p_name, ' ', 2) || 's'
@@ -104,17 +105,10 @@ pairs AS (
         FROM (SELECT query, domain FROM flat UNION ALL SELECT query, domain FROM ruled) GROUP BY ALL))"""
 
 _FUZZY = "jaro_winkler_similarity(q, b) >= 0.78"
-_SUBSTRING = "(replace(q, ' ', '') LIKE '%' || b || '%' OR b LIKE '%' || replace(q, ' ', '') || '%')"
-_TOKENS = (
-    "("
-    + " + ".join(
-        f"CASE WHEN length(split_part(q, ' ', {i})) > 1 AND instr(b, split_part(q, ' ', {i})) > 0 THEN 1 ELSE 0 END"
-        for i in (1, 2, 3)
-    )
-    + " >= 2 AND query_raw NOT LIKE '%near me%'"
-    + " AND (query_raw NOT LIKE '%india% in%' OR query_raw NOT LIKE '%in% india%'))"
-)
-_PREFIX = "b ILIKE split_part(q, ' ', 1) || '%'"
+_SUBSTRING = "(contains(replace(q, ' ', ''), b) OR contains(b, replace(q, ' ', '')))"
+_TOKENS = """(len(list_filter(string_split(q, ' ')[1:3], lambda w: length(w) > 1 AND contains(b, w))) >= 2
+  AND NOT contains(query_raw, 'near me') AND NOT (query_raw LIKE '%india% in%' AND query_raw LIKE '%in% india%'))"""
+_PREFIX = "starts_with(lower(b), lower(string_split(q, ' ')[1]))"
 _GENERAL = f"""(length(q) <= 1 OR q IN (SELECT cuisine FROM names) OR list_contains({_list(GENERIC_QUERIES)}, q)
   OR {_any_rule(EXCLUSIONS)})"""
 _OVERRIDE = _any_rule(OVERRIDES)
@@ -124,60 +118,68 @@ _TYPE = f"""CASE WHEN (NOT {_GENERAL} AND ({_FUZZY} OR {_SUBSTRING} OR {_TOKENS}
 _CLASSIFIED = f"""
 names AS (SELECT DISTINCT cuisine FROM labels),
 classified AS (
-  SELECT restaurant_id, domain, clicks, ctr, impressions, position, query_raw, q AS query_cleaned,
+  SELECT restaurant_id, domain, reported, clicks, ctr, impressions, position, query_raw, q AS query_cleaned,
          b AS domain_name_cleaned, round(100 * jaro_winkler_similarity(q, b), 6) AS jarrow_similarity,
          {_TYPE} AS search_type
   FROM (SELECT *, query AS query_raw, {_CLEANED} AS q, {_BRAND} AS b FROM flat))"""
 
-_SHARES = ("search_query_count", "total_clicks", "total_impressions")
-_SHARE_NAMES = ("pct_unique_search_queries", "pct_clicks", "pct_impressions")
+_SHARES = {
+    "pct_unique_search_queries": "search_query_count",
+    "pct_clicks": "total_clicks",
+    "pct_impressions": "total_impressions",
+}
 
 
-def _grain(grain: str, restaurant: str, cuisine: str, domain: str, source: str, parent: str) -> str:
-    shares = ",\n".join(
-        f"{_pct(c, f'sum({c}) OVER ({parent})')} AS {name}" for c, name in zip(_SHARES, _SHARE_NAMES, strict=True)
-    )
-    return f"""
-  SELECT '{grain}' AS grain, CAST({restaurant} AS VARCHAR) AS restaurant_id, CAST({cuisine} AS VARCHAR) AS cuisine,
-         search_type, CAST({domain} AS VARCHAR) AS domain,
-         CAST(search_query_count AS BIGINT) AS search_query_count, CAST(total_clicks AS BIGINT) AS total_clicks,
-         CAST(total_impressions AS BIGINT) AS total_impressions,
-         {_pct("total_clicks", "total_impressions")} AS ctr,
-         round(avg_position, 6) AS avg_position,
-         {shares}
-  FROM {source}"""
-
-
-_ROLL_UP = """sum(search_query_count) AS search_query_count, sum(total_clicks) AS total_clicks,
-         sum(total_impressions) AS total_impressions,
-         sum(avg_position * total_impressions) / nullif(sum(total_impressions), 0) AS avg_position"""
-
-_UNIFIED = f"""WITH {_FLAT}, {_LABELS}, {_CLASSIFIED},
-entity_sums AS (
-  SELECT restaurant_id, domain, search_type, count(DISTINCT query_raw) AS search_query_count,
-         sum(clicks) AS total_clicks, sum(impressions) AS total_impressions,
-         sum(position * impressions) / nullif(sum(impressions), 0) AS avg_position
+def _rates(group: str) -> str:
+    """The published columns of rows with sums ``n_queries, c, n, w``; shares within ``group``."""
+    shares = ", ".join(f"{_pct(of, f'sum({of}) OVER (PARTITION BY {group})')} AS {name}" for name, of in _SHARES.items())
+    return f"""* EXCLUDE (n_queries, c, n, w), CAST(n_queries AS BIGINT) AS search_query_count,
+         CAST(c AS BIGINT) AS total_clicks, CAST(n AS BIGINT) AS total_impressions, {_pct("c", "n")} AS ctr,
+         round(w / nullif(n, 0), 6) AS avg_position, {shares}"""
+
+
+def _unified(n_queries: str) -> str:
+    """All grains from one list: each query of a restaurant, once for itself, once per cuisine, once overall."""
+    return f"""WITH {_FLAT}, {_LABELS}, {_CLASSIFIED},
+per_query AS (
+  SELECT restaurant_id, domain, search_type, query_raw, sum(clicks) AS c, sum(impressions) AS n,
+         sum(position * impressions) AS w
   FROM classified GROUP BY ALL),
-label_sums AS (
-  SELECT cuisine, search_type, {_ROLL_UP} FROM entity_sums JOIN labels USING (restaurant_id) GROUP BY ALL),
-overall AS (SELECT search_type, {_ROLL_UP} FROM entity_sums GROUP BY ALL),
-unified AS (
-  {_grain("restaurant", "restaurant_id", "NULL", "domain", "entity_sums", "PARTITION BY restaurant_id")}
-  UNION ALL {_grain("cuisine", "NULL", "cuisine", "NULL", "label_sums", "PARTITION BY cuisine")}
-  UNION ALL {_grain("global", "NULL", "NULL", "NULL", "overall", "")})"""
-
-_EXACT = _UNIFIED.replace(
-    f"cuisine, search_type, {_ROLL_UP} FROM entity_sums JOIN labels USING (restaurant_id) GROUP BY ALL",
-    f"""cuisine, search_type, {_ROLL_UP.replace("sum(search_query_count)", "max(n_queries)")}
-  FROM entity_sums JOIN labels USING (restaurant_id) JOIN (
-    SELECT cuisine, search_type, count(DISTINCT query_raw) AS n_queries
-    FROM classified JOIN labels USING (restaurant_id) GROUP BY ALL) USING (cuisine, search_type) GROUP BY ALL""",
-).replace(
-    f"search_type, {_ROLL_UP} FROM entity_sums GROUP BY ALL",
-    f"""search_type, {_ROLL_UP.replace("sum(search_query_count)", "max(n_queries)")} FROM entity_sums JOIN (
-    SELECT search_type, count(DISTINCT query_raw) AS n_queries FROM classified GROUP BY ALL) USING (search_type)
-  GROUP BY ALL""",
-)
+placed AS (
+  SELECT 'restaurant' AS grain, CAST(restaurant_id AS VARCHAR) AS restaurant_id, NULL AS cuisine, domain,
+         search_type, query_raw, c, n, w FROM per_query
+  UNION ALL SELECT 'cuisine', NULL, cuisine, NULL, search_type, query_raw, c, n, w
+  FROM labels JOIN per_query USING (restaurant_id)
+  UNION ALL SELECT 'global', NULL, NULL, NULL, search_type, query_raw, c, n, w FROM per_query),
+sums AS (
+  SELECT grain, restaurant_id, cuisine, domain, search_type, {n_queries} AS n_queries,
+         sum(c) AS c, sum(n) AS n, sum(w) AS w
+  FROM placed GROUP BY ALL),
+unified AS (SELECT {_rates("grain, restaurant_id, cuisine")} FROM sums)"""
+
+
+_UNIFIED = _unified("count(query_raw)")
+_EXACT = _unified("count(DISTINCT query_raw)")
+
+# The cuisines of a restaurant as they were stored on several dates, and the month's set that was the last by then.
+_SET_DATES = ", ".join(f"({i}, DATE '{d}')" for i, d in enumerate(SET_DATES))
+_ASOF = f"""WITH {_FLAT}, {_LABELS}, {_CLASSIFIED},
+stored(i, snapshot_date) AS (VALUES {_SET_DATES}),
+dated AS (
+  SELECT snapshot_date, restaurant_id, CASE WHEN (restaurant_id + i) % 3 = 0 THEN 'fusion' ELSE cuisine END AS cuisine
+  FROM labels CROSS JOIN stored WHERE (restaurant_id + i) % 4 <> 0),
+in_effect AS (
+  SELECT reported, snapshot_date
+  FROM (SELECT DISTINCT reported FROM classified) months ASOF JOIN stored ON months.reported >= stored.snapshot_date),
+per_query AS (
+  SELECT reported, restaurant_id, domain, search_type, query_raw, sum(clicks) AS c, sum(impressions) AS n,
+         sum(position * impressions) AS w
+  FROM classified GROUP BY ALL),
+sums AS (
+  SELECT CAST(reported AS VARCHAR) AS reported, CAST(snapshot_date AS VARCHAR) AS snapshot_date, cuisine, search_type,
+         count(query_raw) AS n_queries, sum(c) AS c, sum(n) AS n, sum(w) AS w
+  FROM per_query JOIN in_effect USING (reported) JOIN dated USING (snapshot_date, restaurant_id) GROUP BY ALL)
+SELECT {_rates("reported, cuisine")} FROM sums"""
 
 _METRICS = """search_query_count, total_clicks, total_impressions, ctr, avg_position,
   pct_unique_search_queries, pct_clicks, pct_impressions"""
@@ -185,11 +187,9 @@ _METRICS = """search_query_count, total_clicks, total_impressions, ctr, avg_posi
 
 _RESIDUAL = """SELECT * FROM (WITH
 entity AS (
-  SELECT restaurant_id, round(u.exact_position) AS bin, u.exact_position, ctr, total_impressions AS n, total_clicks AS c
-  FROM (SELECT un.*, a.avg_position AS exact_position FROM unified un
-        JOIN entity_sums a ON un.restaurant_id = CAST(a.restaurant_id AS VARCHAR)
-         AND un.domain = a.domain AND un.search_type = a.search_type
-        WHERE grain = 'restaurant' AND un.search_type = 'Unbranded' AND un.total_impressions > 0) u),
+  SELECT restaurant_id, round(w / n) AS bin, w / n AS exact_position, u.ctr, n, c
+  FROM unified u JOIN sums USING (grain, restaurant_id, domain, search_type)
+  WHERE grain = 'restaurant' AND search_type = 'Unbranded' AND n > 0),
 expected AS (
   SELECT *, 100.0 * CAST(sum(c) OVER (PARTITION BY bin) - c AS DOUBLE)
             / nullif(CAST(sum(n) OVER (PARTITION BY bin) - n AS DOUBLE), 0) AS e FROM entity)
@@ -197,7 +197,7 @@ SELECT restaurant_id, CAST(bin AS BIGINT) AS pos_bin, round(exact_position, 6) A
        round(e, 6) AS expected_ctr, round(ctr - e, 6) + 0.0 AS position_ctr_residual,
        round(greatest(0, e - ctr), 6) AS nboi_click_gap_pct,
        round(greatest(0, e - ctr) / 100 * n, 6) AS nboi_click_opportunity,
-       n AS total_impressions, c AS total_clicks,
+       CAST(n AS BIGINT) AS total_impressions, CAST(c AS BIGINT) AS total_clicks,
        CASE WHEN n * (e / 100) * (1 - e / 100) > 0
             THEN round((c - n * (e / 100)) / sqrt(n * (e / 100) * (1 - e / 100)), 6) + 0.0 END AS residual_z_score
 FROM expected WHERE e IS NOT NULL)"""
@@ -307,6 +307,15 @@ lists_packed AS (SELECT restaurant_id, list(cuisine) AS cuisines FROM labels GRO
 {" UNION ALL ".join(parts)}"""
 
 
+def _interval_join(join: str) -> str:
+    return f"""WITH {_intervals("event_type <> 'purchase'")}
+SELECT e.user_id, e.event_id, {_TEXT_TIME.format("e.ts")} AS ts, e.value, i.event_type,
+       {_TEXT_TIME.format("i.start_ts")} AS effective_start_date,
+       {_TEXT_TIME.format("i.end_ts")} AS effective_end_date
+FROM (SELECT * FROM events WHERE event_type = 'purchase') e {join} intervals i
+  ON e.user_id = i.user_id AND e.ts >= i.start_ts AND (i.end_ts IS NULL OR e.ts < i.end_ts)"""
+
+
 _FLAT_COLUMNS = "restaurant_id, domain, clicks, ctr, impressions, position, query"
 
 ORACLE_SQL: dict[str, str] = {
@@ -328,7 +337,7 @@ SELECT DISTINCT q AS query_cleaned, b AS domain_name_cleaned, round(jaro_winkler
     "match_prefix": _flag("matched", _PREFIX),
     "exclude_false_positives": _flag("excluded", _GENERAL),
     "brand_overrides": _flag("overridden", _OVERRIDE),
-    "classify_queries": f"WITH {_FLAT}, {_LABELS}, {_CLASSIFIED} SELECT * FROM classified",
+    "classify_queries": f"WITH {_FLAT}, {_LABELS}, {_CLASSIFIED} SELECT * EXCLUDE (reported) FROM classified",
     "classify_rules": f"""WITH {_BRANDS}, {_LABELS}, {_RULES}, {_ALL_NAMES}
 SELECT query_raw, domain, n_rows, clicks, q AS query_cleaned, b AS domain_name_cleaned, {_TYPE} AS search_type
 FROM (SELECT query AS query_raw, domain, count(*) AS n_rows, CAST(sum(clicks) AS BIGINT) AS clicks,
@@ -338,6 +347,7 @@ FROM (SELECT query AS query_raw, domain, count(*) AS n_rows, CAST(sum(clicks) AS
     "global_metrics": f"{_UNIFIED} SELECT * FROM unified WHERE grain = 'global'",
     "unified_metrics": f"{_UNIFIED} SELECT * FROM unified",
     "exact_distinct_metrics": f"{_EXACT} SELECT * FROM unified WHERE grain <> 'restaurant'",
+    "asof_metrics": _ASOF,
     "restaurant_metrics": f"""{_UNIFIED}
 SELECT restaurant_id, domain, search_type, {_METRICS} FROM unified WHERE grain = 'restaurant'""",
     "cuisine_metrics": f"{_UNIFIED} SELECT cuisine, search_type, {_METRICS} FROM unified WHERE grain = 'cuisine'",
@@ -374,12 +384,8 @@ FROM facts JOIN state USING (user_id) WHERE rn = 1""",
     "scd2_intervals": f"""WITH {_intervals("true")}
 SELECT user_id, event_type, {_TEXT_TIME.format("start_ts")} AS effective_start_date,
        {_TEXT_TIME.format("end_ts")} AS effective_end_date FROM intervals""",
-    "scd2_join": f"""WITH {_intervals("event_type <> 'purchase'")}
-SELECT e.user_id, e.event_id, {_TEXT_TIME.format("e.ts")} AS ts, e.value, i.event_type,
-       {_TEXT_TIME.format("i.start_ts")} AS effective_start_date,
-       {_TEXT_TIME.format("i.end_ts")} AS effective_end_date
-FROM events e JOIN intervals i
-  ON e.user_id = i.user_id AND e.ts >= i.start_ts AND (i.end_ts IS NULL OR e.ts < i.end_ts)
-WHERE e.event_type = 'purchase'""",
+    "scd2_join": _interval_join("JOIN"),
+    "scd2_join_slices": _interval_join("JOIN"),
+    "scd2_join_left": _interval_join("LEFT JOIN"),
     "quality_report": _quality(),
 }

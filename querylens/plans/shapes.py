@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from querylens.operators.joins import lookup_join
@@ -11,6 +13,8 @@ from querylens.sources.scratch import materialize
 # Orders whose lines share one export document: bounds a document's size whatever the data's.
 ORDERS_PER_DOCUMENT = 4096
 LOADED = "2024-01-01"
+# When the cuisines were stored.
+SET_DATES = tuple(datetime.date(*day) for day in ((1996, 7, 1), (1998, 1, 1), (1999, 3, 15), (2000, 6, 1)))
 
 # Test inputs, queries and domains in which each rule of the classification decides some pair.
 RULE_CASES = (
@@ -97,7 +101,7 @@ def _measures() -> list[Column]:
 
 
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flat search query per line item, with the order it comes from."""
+    """One flat search query per line item, with the order it comes from and the month it is reported for."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     lines = balanced(table(spark, sf_dir, "lineitem"))
     name, number = F.col("p_name"), F.col("l_linenumber")
@@ -113,10 +117,14 @@ def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     domains = materialize(brands(spark, sf_dir).select("restaurant_id", "domain"), "domains")
     searched = lines.join(part, lines.l_partkey == part.p_partkey).select(
-        F.col("l_suppkey").alias("restaurant_id"), "l_orderkey", *_measures(), query.alias("query")
+        F.col("l_suppkey").alias("restaurant_id"),
+        "l_orderkey",
+        F.trunc("l_shipdate", "month").alias("reported"),
+        *_measures(),
+        query.alias("query"),
     )
     return lookup_join(searched, domains, ["restaurant_id"], how="inner").select(
-        "restaurant_id", "domain", "clicks", "ctr", "impressions", "position", "query", "l_orderkey"
+        "restaurant_id", "domain", "clicks", "ctr", "impressions", "position", "query", "l_orderkey", "reported"
     )
 
 
@@ -167,3 +175,11 @@ def label_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("restaurant_id % 10 <> 0")
         .select("restaurant_id", F.to_json(F.concat(names, repeated)).alias("cuisines"))
     )
+
+
+def dated_labels(labels: DataFrame) -> DataFrame:
+    """The labels as they were on several dates: a fourth of the restaurants is missing, a third serves fusion."""
+    stored = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("snapshot_date")) for i, d in enumerate(SET_DATES)])
+    dated = labels.select("restaurant_id", "cuisine", F.inline(stored)).where((F.col("restaurant_id") + F.col("i")) % 4 != 0)
+    fusion = (F.col("restaurant_id") + F.col("i")) % 3 == 0
+    return dated.select("snapshot_date", "restaurant_id", F.when(fusion, "fusion").otherwise(F.col("cuisine")).alias("cuisine"))

@@ -48,14 +48,14 @@ def plain(value):
     return value
 
 
-@pytest.mark.parametrize("slice_rows", [1, 40, 1_000_000])
+@pytest.mark.parametrize("slice_rows", [7, 40, 1_000_000])
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
 def test_intervals(spark, kind, slice_rows):
     found = [tuple(r) for r in intervals(spark, kind, slice_rows).collect()]
     assert sorted(found, key=str) == sorted(expected_intervals(observations()), key=str)
 
 
-@pytest.mark.parametrize("slice_rows", [1, 40, 1_000_000])
+@pytest.mark.parametrize("slice_rows", [7, 40, 1_000_000])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_join(spark, slice_rows, how):
     rng = random.Random(6)
@@ -92,20 +92,46 @@ def test_closed_intervals(spark):
     assert history.scd2_join(facts, dimension, ["k"], "at").count() == 4
 
 
+def exchanges(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
 def largest_slice(df, order, slice_rows):
     sliced = history._slice(df, ["k"], order, slice_rows).rows
     return sliced.groupBy("k", "_slice").count().agg(F.max("count")).first()[0]
 
 
-def test_even_rows_are_cut_by_time(spark, monkeypatch):
-    monkeypatch.setattr(history, "materialize", None)
+def test_many_small_keys_need_one_window(spark):
+    df = spark.range(20_000).select((F.col("id") % 2_000).alias("k"), F.col("id").alias("at"), (F.col("id") % 3).alias("v"))
+    sliced = history._slice(df, ["k"], ["at"], 50)
+    assert not sliced.heavy
+    carried = sliced.carry(F.col("v"), ["at"], "before", inclusive=False, backward=False)
+    plan = carried._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and "Join" not in plan and exchanges(carried) == 1
+
+
+@pytest.mark.parametrize("rows", [10, 100])
+def test_heavy_keys_are_found_exactly(spark, rows):
+    # Key i has i rows; NULL has 150.
+    df = spark.range(1, 200).select(F.explode(F.sequence(F.lit(1), F.col("id"))).alias("i"), F.col("id").alias("k"))
+    df = df.select("k").unionByName(spark.range(150).select(F.lit(None).cast("bigint").alias("k"))).repartition(7)
+    found = history.heavy_keys(df, ["k"], rows)
+    expected = df.groupBy("k").count().where(F.col("count") > rows).select(F.xxhash64("k"), "count")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_only_heavy_keys_are_cut(spark):
     df = spark.range(10_000).select(
-        F.lit(1).alias("k"), (F.lit(DAY0) + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("at")
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("at")
     )
-    assert largest_slice(df, ["at"], 100) <= 101
+    sliced = history._slice(df, ["k"], ["at"], 500)
+    assert sliced.heavy
+    assert sliced.rows.where("_slice is not null").select("k").distinct().collect() == [(1,)]
+    assert sliced.rows.where("_slice is null").count() == 4_999
+    assert largest_slice(df, ["at"], 500) <= 1_500
 
 
-def test_bursts_are_cut_by_rank(spark):
+def test_a_key_of_equal_times_is_cut(spark):
     # One key has nearly all rows, all but one of them in the same second.
     late = F.when(F.col("id") == 0, F.lit(DAY0 + datetime.timedelta(days=900))).otherwise(F.lit(DAY0))
     df = spark.range(10_000).select(F.lit(1).alias("k"), late.alias("at"), "id")
@@ -149,3 +175,22 @@ def test_only_one_snapshot_is_read(spark, tmp_path):
     )
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
+def test_each_fact_gets_the_snapshot_of_its_day(spark, tmp_path):
+    day, at = datetime.date, datetime.datetime
+    path = str(tmp_path / "snapshots")
+    for d, rows in ((1, [(1, "a"), (2, "b")]), (8, [(1, "c"), (1, "d")])):
+        history.snapshot_dimension(spark.createDataFrame(rows, "k int, v string"), day(2024, 1, d), path)
+    snapshots = spark.read.parquet(path)
+    facts = [(1, at(2023, 12, 31, 23)), (1, at(2024, 1, 1, 0)), (2, at(2024, 1, 7, 23)), (1, at(2024, 1, 8, 5)), (2, at(2024, 1, 9)), (3, at(2024, 1, 2)), (1, None), (None, at(2024, 1, 2))]
+    df = spark.createDataFrame(facts, "k int, at timestamp_ntz")
+    inner = [(1, facts[1][1], "a"), (2, facts[2][1], "b"), (1, facts[3][1], "c"), (1, facts[3][1], "d")]
+    missing = [(facts[i][0], facts[i][1], None) for i in (0, 4, 5, 6, 7)]
+    for options in ({}, {"max_bytes": 0, "hot_rows": 1}):
+        found = history.snapshots_in_effect(df, snapshots, ["k"], "at", **options)
+        assert sorted((r["k"], r["at"], r["v"]) for r in found.collect()) == sorted(inner)
+        left = history.snapshots_in_effect(df, snapshots, ["k"], "at", how="left", **options)
+        assert sorted(((r["k"], r["at"], r["v"]) for r in left.collect()), key=str) == sorted(inner + missing, key=str)
+    none = history.snapshots_in_effect(df, snapshots.limit(0), ["k"], "at")
+    assert none.count() == 0
