@@ -1,40 +1,60 @@
-"""Typed values out of JSON text."""
+"""Typed values out of JSON text, by one reader with one set of rules whatever a document's length.
+
+Text is read strictly: names and texts in double quotes, no ``NaN`` or
+``Infinity``, nothing after the document's end. If an object's name is
+repeated, the last value counts; inside a record it makes the whole
+document malformed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# A variant may take 128 MiB, and takes at most three times its text. Longer documents are
-# read with each of their records as a variant.
-VARIANT_TEXT_BYTES = 32 << 20
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def bracketed(text: Column) -> Column:
-    """The document as the only element of an array, which makes text after its end malformed."""
-    return F.concat(F.lit("["), text, F.lit("]"))
+def _end_mark(text: Column) -> Column:
+    """What comes after the document to show where it ends; no text holds its own hash by chance."""
+    return F.xxhash64(text).cast("string")
 
 
 def parse_document(text: Column) -> Column:
-    """The bracketed document, to be reached by ``$[0]``; NULL for malformed text."""
-    return F.try_parse_json(bracketed(text))
-
-
-def elements(document: Column, path: str) -> Column:
-    """The values of the array (or object) at ``path``; NULL for anything else."""
-    array = F.try_variant_get(document, path, "array<variant>")
-    members = F.map_values(F.try_variant_get(document, path, "map<string,variant>"))
-    single = F.try_variant_get(document, "$[1]", "variant").isNull()
-    return F.when(single, F.coalesce(array, members))
-
-
-def long_elements(text: Column, field: str) -> Column:
-    """``elements`` of the document's ``field``, without a variant of the whole document."""
-
-    def read(kind: str) -> Column:
-        documents = F.from_json(bracketed(text), f"array<struct<{field}:{kind}>>")
-        return F.when(F.size(documents) == 1, F.get(documents, F.lit(0))[field])
-
-    return F.coalesce(read("array<variant>"), F.map_values(read("map<string,variant>")))
+    """The document as first element of an array, to be reached by ``$[0]``; NULL for malformed text.
+
+    The array's second element is a mark. If it isn't there, the document's
+    text closed the array before.
+    """
+    mark = _end_mark(text)
+    both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    ended = (F.try_variant_get(both, "$[1]", "string") == mark) & F.try_variant_get(both, "$[2]", "variant").isNull()
+    return F.when(ended, both)
+
+
+def members(text: Column, field: str | None = None) -> Column:
+    """The values of the array or object that the document is, or that is its ``field``; NULL for anything else.
+
+    Each value becomes a variant of its own, so a document may be longer than
+    a variant.
+    """
+    mark = _end_mark(text)
+
+    def read(kind: str, end: Column, shape: str, marked) -> Column:
+        both = F.from_json(F.concat(F.lit("["), text, F.lit(","), end, F.lit("]")), f"array<{shape.format(kind)}>", _STRICT)
+        first, last = F.get(both, F.lit(0)), F.get(both, F.lit(1))
+        return F.when((F.size(both) == 2) & (marked(last) == mark), first if field is None else first[field])
+
+    if field is not None:
+        end = F.concat(F.lit('{"end":"'), mark, F.lit('"}'))
+        shape = f"struct<`{field}`:{{}},end:string>"
+        array, pairs = (read(kind, end, shape, lambda last: last["end"]) for kind in _KINDS)
+    else:
+        array = read(_KINDS[0], F.concat(F.lit('["'), mark, F.lit('"]')), "{}", lambda last: variant_string(F.get(last, F.lit(0)), "$"))
+        end = F.concat(F.lit('{"end":"'), mark, F.lit('"}'))
+        pairs = read(_KINDS[1], end, "{}", lambda last: variant_string(last["end"], "$"))
+    return F.coalesce(array, F.map_values(pairs))
+
+
+_KINDS = ("array<variant>", "map<string,variant>")
 
 
 def variant_bigint(value: Column, path: str) -> Column:

@@ -2,22 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from querylens.functions.variant import (
-    VARIANT_TEXT_BYTES,
-    elements,
-    long_elements,
-    parse_document,
-    variant_bigint,
-    variant_double,
-    variant_string,
-)
-
-
-def _records(text: Column) -> Column:
-    whole = elements(parse_document(text), "$[0].rows")
-    return F.when(F.octet_length(text) > VARIANT_TEXT_BYTES, long_elements(text, "rows")).otherwise(whole)
+from querylens.functions.variant import members, variant_bigint, variant_double, variant_string
 
 
 def flatten_search_export(raw: DataFrame) -> DataFrame:
@@ -27,7 +14,7 @@ def flatten_search_export(raw: DataFrame) -> DataFrame:
     the wrong type becomes NULL.
     """
     record = F.col("record")
-    return raw.select("restaurant_id", "domain", F.explode(_records(F.col("data"))).alias("record")).select(
+    return raw.select("restaurant_id", "domain", F.explode(members(F.col("data"), "rows")).alias("record")).select(
         "restaurant_id",
         "domain",
         variant_bigint(record, "$.clicks").alias("clicks"),
@@ -40,8 +27,8 @@ def flatten_search_export(raw: DataFrame) -> DataFrame:
 
 def flatten_labels(raw: DataFrame) -> DataFrame:
     """One row per cuisine in each restaurant's list, repeats included."""
-    names = elements(parse_document(F.col("cuisines")), "$[0]")
-    return raw.select("restaurant_id", F.explode(names).alias("name")).select(
+    names = F.explode(members(F.col("cuisines")))
+    return raw.select("restaurant_id", names.alias("name")).select(
         "restaurant_id", F.btrim(variant_string(F.col("name"), "$"), F.lit('" ')).alias("cuisine")
     )
 

@@ -90,6 +90,14 @@ def q_flatten_search_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_search_export(shapes.search_export(spark, sf_dir))
 
 
+def q_flatten_dirty_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_search_export(shapes.dirty_export(spark, sf_dir))
+
+
+def q_flatten_dirty_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_labels(shapes.dirty_labels(spark, sf_dir))
+
+
 def q_label_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_names(labels(spark, sf_dir))
 
@@ -398,7 +406,9 @@ def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "flatten_props": q_flatten_props,
     "flatten_search_export": q_flatten_search_export,
+    "flatten_dirty_export": q_flatten_dirty_export,
     "flatten_labels": labels,
+    "flatten_dirty_labels": q_flatten_dirty_labels,
     "label_names": q_label_names,
     "normalize_query": q_normalize_query,
     "brand_name": q_brand_name,

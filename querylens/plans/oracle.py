@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from querylens.functions import text
 from querylens.functions.brands import EXCLUSIONS, GENERIC_QUERIES, OVERRIDES, Rule
 from querylens.operators.quality import CHECKS
-from querylens.plans.shapes import ORDERS_PER_DOCUMENT, RULE_CASES, SET_DATES
+from querylens.plans.shapes import DIRTY_DOCUMENTS, DIRTY_LABELS, ORDERS_PER_DOCUMENT, RULE_CASES, SET_DATES
 
 
 def _pct(part: str, whole: str) -> str:
@@ -307,6 +307,28 @@ lists_packed AS (SELECT restaurant_id, list(cuisine) AS cuisines FROM labels GRO
 {" UNION ALL ".join(parts)}"""
 
 
+# What each dirty document is to give, written down case by case instead of parsed: (case, clicks, ctr, position, query).
+_DIRTY_DOCUMENTS = f"""WITH lines AS (
+  SELECT l_suppkey AS restaurant_id, l_orderkey || '-' || l_linenumber AS domain,
+         CAST(floor(l_quantity) AS BIGINT) AS v, (l_orderkey + l_linenumber) % {len(DIRTY_DOCUMENTS)} AS k FROM lineitem),
+found AS (
+  SELECT restaurant_id, domain, v AS clicks, 0.5 AS ctr, NULL AS position, 'first ' || v AS query FROM lines WHERE k = 0
+  UNION ALL SELECT restaurant_id, domain, 1, NULL, 2, 'second' FROM lines WHERE k = 0
+  UNION ALL SELECT restaurant_id, domain, v, NULL, NULL, NULL FROM lines WHERE k IN (7, 9, 11, 12, 17)
+  UNION ALL SELECT restaurant_id, domain, v + 1, NULL, NULL, NULL FROM lines WHERE k = 8
+  UNION ALL SELECT restaurant_id, domain, NULL, NULL, NULL, NULL FROM lines WHERE k = 10
+  UNION ALL SELECT restaurant_id, domain, NULL, NULL, NULL, 'a ' || v FROM lines WHERE k = 13
+  UNION ALL SELECT restaurant_id, domain, NULL, NULL, NULL, NULL FROM lines, range(2) WHERE k = 19)
+SELECT restaurant_id, domain, CAST(clicks AS BIGINT) AS clicks, CAST(ctr AS DOUBLE) AS ctr,
+       CAST(NULL AS BIGINT) AS impressions, CAST(position AS DOUBLE) AS position, query FROM found"""
+_DIRTY_LABELS = f"""WITH lists AS (SELECT p_partkey AS restaurant_id, p_name, p_partkey % {len(DIRTY_LABELS)} AS k FROM part)
+SELECT restaurant_id, p_name AS cuisine FROM lists WHERE k IN (0, 1, 4, 6)
+UNION ALL SELECT restaurant_id, p_name FROM lists WHERE k = 1
+UNION ALL SELECT restaurant_id, NULL FROM lists WHERE k = 4
+UNION ALL SELECT restaurant_id, '' FROM lists WHERE k = 7
+UNION ALL SELECT restaurant_id, '5' FROM lists WHERE k = 8"""
+
+
 def _interval_join(join: str) -> str:
     return f"""WITH {_intervals("event_type <> 'purchase'")}
 SELECT e.user_id, e.event_id, {_TEXT_TIME.format("e.ts")} AS ts, e.value, i.event_type,
@@ -321,6 +343,8 @@ _FLAT_COLUMNS = "restaurant_id, domain, clicks, ctr, impressions, position, quer
 ORACLE_SQL: dict[str, str] = {
     "flatten_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "flatten_search_export": f"WITH {_FLAT} SELECT {_FLAT_COLUMNS} FROM flat",
+    "flatten_dirty_export": _DIRTY_DOCUMENTS,
+    "flatten_dirty_labels": _DIRTY_LABELS,
     "flatten_labels": f"WITH {_BRANDS}, {_LABELS} SELECT restaurant_id, cuisine FROM labels",
     "label_names": f"WITH {_BRANDS}, {_LABELS} SELECT DISTINCT cuisine FROM labels",
     "normalize_query": f"""WITH {_FLAT}, {_RULES}

@@ -177,6 +177,73 @@ def label_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _picked(texts: list[Column], case: Column) -> Column:
+    return F.get(F.array(*texts), F.pmod(case, F.lit(len(texts))).cast("int"))
+
+
+def _filled(text: str, value: Column) -> Column:
+    """``text`` with each ``@`` replaced by a value."""
+    return F.replace(F.lit(text), F.lit("@"), value.cast("string"))
+
+
+# Test inputs: documents of an export as they shouldn't be, and some that are right; @ is a number.
+DIRTY_DOCUMENTS = (
+    '{"rows":[{"keys":["first @"],"clicks":@,"ctr":0.5},{"keys":["second","x"],"clicks":1,"position":2}]}',
+    "bad{@",
+    '{"x":@}',
+    '{"rows":null}',
+    '{"rows":[]}',
+    '{"rows":@}',
+    None,
+    '{"rows":{"a":{"clicks":@}}}',
+    '{"rows":[{"clicks":@.6}]}',
+    '{"rows":[{"clicks":"@"}]}',
+    '{"rows":[{"clicks":"x@"}]}',
+    '{"rows":[{"keys":[],"clicks":@}]}',
+    '{"rows":[{"keys":[null],"clicks":@}]}',
+    '{"rows":[{"keys":["  a @ "]}]}',
+    '{"rows":[{"clicks":@}]}] trailing',
+    "{'rows':[{'clicks':@}]}",
+    '{"rows":[{"clicks":@},NaN]}',
+    '{"rows":[{"clicks":0}],"rows":[{"clicks":@}]}',
+    '{"rows":[{"clicks":0,"clicks":@}]}',
+    '{"rows":[null,@]}',
+)
+# Lists of cuisines likewise; @ is a name.
+DIRTY_LABELS = (
+    '["  @ "]',
+    '["\\"@\\"", " \\" @"]',
+    "bad[@",
+    '"@"',
+    '[null, "@"]',
+    '["@"]] trailing',
+    '{"a":"@ "}',
+    '[" \\" "]',
+    "[5]",
+    None,
+    "['@']",
+)
+
+
+def dirty_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document per line item, out of the cases above."""
+    number = F.floor("l_quantity").cast("bigint")
+    texts = [F.lit(None).cast("string") if t is None else _filled(t, number) for t in DIRTY_DOCUMENTS]
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("restaurant_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("domain"),
+        _picked(texts, F.col("l_orderkey") + F.col("l_linenumber")).alias("data"),
+    )
+
+
+def dirty_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of cuisines per part, out of the cases above."""
+    texts = [F.lit(None).cast("string") if t is None else _filled(t, F.col("p_name")) for t in DIRTY_LABELS]
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("restaurant_id"), _picked(texts, F.col("p_partkey")).alias("cuisines")
+    )
+
+
 def dated_labels(labels: DataFrame) -> DataFrame:
     """The labels as they were on several dates: a fourth of the restaurants is missing, a third serves fusion."""
     stored = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("snapshot_date")) for i, d in enumerate(SET_DATES)])

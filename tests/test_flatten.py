@@ -4,20 +4,12 @@ import json
 
 import pytest
 
-from querylens.operators import flatten
 from querylens.operators.flatten import flatten_labels, flatten_search_export, label_names
 
 ROW = {"keys": ["pizza dados"], "clicks": 3, "ctr": 0.3, "impressions": 10, "position": 1.5}
 SCHEMA = "restaurant_id string, domain string, data string"
 
 
-@pytest.fixture(autouse=True, params=["whole", "by record"])
-def text_limit(request, monkeypatch):
-    """Every document is read both ways, as a short one and as one too long for a variant."""
-    if request.param == "by record":
-        monkeypatch.setattr(flatten, "VARIANT_TEXT_BYTES", -1)
-
-
 def flat(spark, *documents):
     df = spark.createDataFrame([("r", "d.com", d) for d in documents], SCHEMA)
     return [tuple(r) for r in flatten_search_export(df).collect()]
@@ -38,12 +30,25 @@ def test_two_records(spark):
 @pytest.mark.parametrize(
     "document",
     ["bad{", '{"x":1}', '{"rows":null}', '{"rows":[]}', '{"rows":5}', None, "", "[1]", '"x"', '{"rows":[{}],',
-     '{"rows":[{}]} trailing', '{"rows":[{}]}{"rows":[{}]}', '{"rows":[{}]},{"rows":[{}]}', '{"Rows":[{}]}'],
+     '{"rows":[{}]} trailing', '{"rows":[{}]}{"rows":[{}]}', '{"rows":[{}]},{"rows":[{}]}', '{"Rows":[{}]}', '{"rows":[{}]}] trailing', '{"rows":[{}]},"1"] x',
+     "{'rows':[{}]}", '{"rows":[NaN]}', '{"rows":[Infinity]}', '{"rows":[{"a":1,"a":2}]}', '{"rows":[01]}', '{"rows":[1,]}'],
 )
 def test_no_rows(spark, document):
     assert flat(spark, document) == []
 
 
+@pytest.mark.parametrize(
+    "document, rows", [('{"rows":[{"clicks":1}],"rows":[{"clicks":2}]}', 1), ("{'rows':[{}]}", 0), ('{"rows":[NaN]}', 0), ('{"rows":[{}]}] x', 0)]
+)
+def test_long_documents_follow_the_same_rules(spark, document, rows):
+    filler = '{"filler":"' + "x" * (40 << 20) + '",'
+    assert len(flat(spark, document)) == len(flat(spark, document.replace("{", filler, 1))) == rows
+
+
+def test_the_last_of_a_repeated_name_counts(spark):
+    assert [r[2] for r in flat(spark, '{"rows":[{"clicks":1}],"rows":[{"clicks":2}]}')] == [2]
+
+
 def test_object_of_records(spark):
     assert [r[2] for r in flat(spark, '{"rows":{"a":{"clicks":1},"b":{"clicks":2}}}')] == [1, 2]
 
@@ -82,6 +87,9 @@ def test_labels(spark):
         ("6", "[]"),
         ("7", "[null]"),
         ("8", '"Thai"'),
+        ("9", '["Thai"]] x'),
+        ("9", '["Thai"],["Thai"]'),
+        ("9", "['Thai']"),
     ]
     df = spark.createDataFrame(rows, "restaurant_id string, cuisines string")
     found = sorted((tuple(r) for r in flatten_labels(df).collect()), key=str)
