@@ -85,3 +85,13 @@ def classify_queries(
     general = exclude_false_positives(query, brand, raw, F.col("label"))
     branded = (~general & matches) | brand_overrides(query, brand, raw, rules)
     return labelled.select(*kept, F.when(branded, BRANDED).otherwise(UNBRANDED).alias("search_type"))
+
+
+def classify_each_once(queries: DataFrame, names: DataFrame, rules: Sequence[Rule] = OVERRIDES) -> DataFrame:
+    """``classify_queries`` with scores for raw rows: each pair of query and domain is scored once and looked up.
+
+    The pairs are stored. Rows come back in the same columns and numbers.
+    """
+    pairs = classify_queries(queries.select("query", "domain").distinct(), names, rules)
+    rows = queries.withColumnRenamed("query", "query_raw")
+    return lookup_join(rows, materialize(pairs, "classified-pairs"), ["query_raw", "domain"], null_safe=True)

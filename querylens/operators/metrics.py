@@ -153,6 +153,13 @@ def unified_metrics(classified: DataFrame, labels: DataFrame, exact_distinct: bo
     totals = materialize(entity_totals(classified), "totals")
     by_cuisine = distinct_by_cuisine(classified, labels) if exact_distinct else None
     overall = distinct_overall(classified) if exact_distinct else None
+    return all_grains(totals, labels, by_cuisine, overall)
+
+
+def all_grains(
+    totals: DataFrame, labels: DataFrame, by_cuisine: DataFrame | None = None, overall: DataFrame | None = None
+) -> DataFrame:
+    """The unified table from stored entity totals, with distinct queries of cuisines and overall if they are given."""
     return (
         entity_metrics(totals)
         .unionByName(attributed_metrics(totals, labels, by_cuisine))

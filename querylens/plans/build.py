@@ -8,7 +8,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame
 
 from querylens.functions.brands import OVERRIDES, Rule
-from querylens.operators.classify import classify_queries
+from querylens.operators.classify import classify_each_once, classify_queries
 from querylens.operators.flatten import flatten_labels, flatten_search_export, label_names
 from querylens.operators.metrics import (
     collapse_queries,
@@ -61,7 +61,7 @@ def build(
 
     With ``root`` each table is written under it, the unified one clustered,
     and the next is computed from what was written, so that documents are
-    parsed and queries classified once. Without it only the unified metrics
+    parsed and each query of a domain classified once. Without it only the unified metrics
     are stored, in scratch, for the three tables and the checks that read
     them; classified queries remain a plan.
     """
@@ -77,7 +77,8 @@ def build(
     queries = keep("queries", flatten_search_export(search_export))
     labels = keep("labels", flatten_labels(label_export))
     names = keep("label_names", label_names(labels))
-    classified = keep("classified_queries", classify_queries(queries, names, rules))
+    classify = classify_each_once if root else classify_queries
+    classified = keep("classified_queries", classify(queries, names, rules))
     if root:
         unified = keep("unified_metrics", unified_metrics(classified, labels))
     else:

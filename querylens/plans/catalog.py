@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from querylens.functions import brands as rules
 from querylens.functions.text import brand_name, normalize_query
 from querylens.functions.variant import parse_document, variant_bigint
-from querylens.operators import history, metrics
+from querylens.operators import history, maintained, metrics
 from querylens.operators.classify import classify_queries, clean_queries, with_label_match
 from querylens.operators.flatten import flatten_labels, flatten_search_export, label_names
 from querylens.operators.quality import Check, not_null, quality_report
@@ -290,6 +290,22 @@ def q_load_search_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_search_export(table.current())
 
 
+def _third(rows: DataFrame, load: int) -> DataFrame:
+    """A load: a third of the orders, of all restaurants, then of every second, then of every third."""
+    return rows.where((F.col("l_orderkey") % 3 == load) & (F.col("restaurant_id") % (load + 1) == 0))
+
+
+def q_maintained_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics after three loads, each of which replaces the rows of its restaurants."""
+    labelled = labels(spark, sf_dir)
+    known = materialize(label_names(labelled), "known-names")
+    rows = shapes.search_queries(spark, sf_dir)
+    state = maintained.start(_third(rows, 0), lambda df: classify_queries(df, known, with_score=False))
+    for load in (1, 2):
+        state = maintained.apply_load(state, _third(rows, load), lambda df: classify_queries(df, known, with_score=False))
+    return metric_rows(metrics.all_grains(state.totals, labelled))
+
+
 def q_refresh_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label export written over an earlier copy, read back and flattened."""
     path = scratch_path(spark, "label_export")
@@ -440,6 +456,7 @@ QUERIES: dict[str, Query] = {
     "compact_loads": q_compact_loads,
     "mixed_loads": q_mixed_loads,
     "load_search_export": q_load_search_export,
+    "maintained_metrics": q_maintained_metrics,
     "refresh_labels": q_refresh_labels,
     "stream_upsert": q_stream_upsert,
     "snapshot_in_effect": q_snapshot_in_effect,

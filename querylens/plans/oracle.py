@@ -61,7 +61,7 @@ brands AS (
 
 _FLAT = f"""{_BRANDS},
 flat AS (
-  SELECT l_suppkey AS restaurant_id, domain, l_orderkey // {ORDERS_PER_DOCUMENT} AS chunk,
+  SELECT l_suppkey AS restaurant_id, domain, l_orderkey, l_orderkey // {ORDERS_PER_DOCUMENT} AS chunk,
          CAST(date_trunc('month', l_shipdate) AS DATE) AS reported, {_MEASURES},
          CASE l_linenumber
            WHEN 1 THEN p_name WHEN 2 THEN p_name || ' near me' WHEN 3 THEN p_name || ' menu' WHEN 4 THEN p_name || ' $20'
@@ -161,6 +161,13 @@ unified AS (SELECT {_rates("grain, restaurant_id, cuisine")} FROM sums)"""
 _UNIFIED = _unified("count(query_raw)")
 _EXACT = _unified("count(DISTINCT query_raw)")
 
+# Of each restaurant the third of the orders that the last load with it brought.
+_LOADED = _UNIFIED.replace(
+    "FROM flat))",
+    """FROM flat
+  WHERE l_orderkey % 3 = CASE WHEN restaurant_id % 3 = 0 THEN 2 WHEN restaurant_id % 2 = 0 THEN 1 ELSE 0 END))""",
+)
+
 # The cuisines of a restaurant as they were stored on several dates, and the month's set that was the last by then.
 _SET_DATES = ", ".join(f"({i}, DATE '{d}')" for i, d in enumerate(SET_DATES))
 _ASOF = f"""WITH {_FLAT}, {_LABELS}, {_CLASSIFIED},
@@ -372,6 +379,7 @@ FROM (SELECT query AS query_raw, domain, count(*) AS n_rows, CAST(sum(clicks) AS
     "unified_metrics": f"{_UNIFIED} SELECT * FROM unified",
     "exact_distinct_metrics": f"{_EXACT} SELECT * FROM unified WHERE grain <> 'restaurant'",
     "asof_metrics": _ASOF,
+    "maintained_metrics": f"{_LOADED} SELECT * FROM unified",
     "restaurant_metrics": f"""{_UNIFIED}
 SELECT restaurant_id, domain, search_type, {_METRICS} FROM unified WHERE grain = 'restaurant'""",
     "cuisine_metrics": f"{_UNIFIED} SELECT cuisine, search_type, {_METRICS} FROM unified WHERE grain = 'cuisine'",

@@ -5,8 +5,15 @@ from __future__ import annotations
 import json
 
 import pytest
+from oracle_compare import connect, duck_rows, spark_rows
+from pyspark.sql import functions as F
 
+from querylens.operators.classify import classify_each_once, classify_queries
+from querylens.plans import shapes
 from querylens.plans.build import build
+from querylens.plans.oracle import ORACLE_SQL
+
+SF_DIR = "/root/testdata/sf0.001"
 
 T = "2024-01-01 00:00:00"
 
@@ -87,3 +94,42 @@ def test_written_tables(exports, spark, tmp_path):
         assert sorted(map(str, df.collect())) == sorted(map(str, other.collect()))
     build(*exports, root=str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/queries").count() == 5
+
+
+@pytest.fixture(scope="module")
+def whole(spark, tmp_path_factory):
+    return build(
+        shapes.search_export(spark, SF_DIR), shapes.label_export(spark, SF_DIR), root=str(tmp_path_factory.mktemp("whole"))
+    )
+
+
+@pytest.mark.parametrize(
+    "table, query",
+    [
+        ("queries", "flatten_search_export"),
+        ("labels", "flatten_labels"),
+        ("label_names", "label_names"),
+        ("classified_queries", "classify_queries"),
+        ("unified_metrics", "unified_metrics"),
+        ("restaurant_metrics", "restaurant_metrics"),
+        ("cuisine_metrics", "cuisine_metrics"),
+        ("ctr_residual", "ctr_residual"),
+    ],
+)
+def test_each_written_table_equals_sql(whole, table, query):
+    df = whole.tables()[table]
+    df = df.withColumns({f.name: F.round(f.name, 6) + 0.0 for f in df.schema.fields if f.dataType.simpleString() == "double"})
+    con = connect(SF_DIR)
+    names, expected = duck_rows(con, ORACLE_SQL[query])
+    columns, found = spark_rows(df)
+    assert columns == names
+    assert found == [tuple(round(v, 6) + 0.0 if isinstance(v, float) else v for v in r) for r in expected]
+
+
+def test_each_pair_is_scored_once(spark):
+    queries = spark.createDataFrame([("pizza dados", "dadospizzaok.com", i) for i in range(50)], "query string, domain string, n int")
+    names = spark.createDataFrame([("thai",)], "cuisine string")
+    once = classify_each_once(queries, names)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" not in plan and "regexp_replace" not in plan  # the text work is done on the stored pairs
+    assert sorted(map(str, once.collect())) == sorted(map(str, classify_queries(queries, names).select(*once.columns).collect()))

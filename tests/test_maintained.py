@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from querylens.operators import maintained
+from querylens.operators.classify import classify_queries
+from querylens.operators.metrics import entity_totals
+
+COLUMNS = "restaurant_id bigint, domain string, query string, clicks bigint, impressions bigint, position double"
+WORDS = ["pizza dados", "dados", "thai", "pad thai", "sushi", None]
+
+
+def rows(spark, seed: int, restaurants: list, count: int = 120):
+    draw = random.Random(seed)
+    made = []
+    for _ in range(count):
+        restaurant = draw.choice(restaurants)
+        domain = None if draw.random() < 0.05 else f"dados{(restaurant or 0) % 3}.com"
+        made.append((restaurant, domain, draw.choice(WORDS), draw.randrange(3), draw.randrange(4), float(draw.randrange(1, 9))))
+    return spark.createDataFrame(made, COLUMNS)
+
+
+@pytest.fixture(scope="module")
+def classify(spark):
+    names = spark.createDataFrame([("thai",)], "cuisine string")
+    return lambda df: classify_queries(df, names, with_score=False)
+
+
+def full(loads, classify):
+    """All rows that are left when each load replaces its restaurants' rows, built at once."""
+    left = loads[0]
+    for load in loads[1:]:
+        touched = load.select("restaurant_id").distinct()
+        left = left.join(touched, "restaurant_id", "left_anti").unionByName(load)
+    return entity_totals(classify(left))
+
+
+def content(df) -> list:
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_loads_give_the_full_builds_totals(spark, classify):
+    loads = [rows(spark, 1, [*range(8), None]), rows(spark, 2, [1, 2, 3, 20]), rows(spark, 3, [2, None, 21], 30), rows(spark, 4, [2], 1)]
+    state = maintained.start(loads[0], classify)
+    for i, load in enumerate(loads[1:], 2):
+        state = maintained.apply_load(state, load, classify)
+        expected = full(loads[:i], classify)
+        assert content(state.totals.select(*expected.columns)) == content(expected)
+    assert state.queries.where("n <= 0").isEmpty()
+
+
+def test_a_repeated_load_changes_nothing(spark, classify):
+    first, again = rows(spark, 5, [1, 2, 3]), rows(spark, 6, [2])
+    state = maintained.apply_load(maintained.start(first, classify), again, classify)
+    changes = maintained.signed_changes(state, again, classify, maintained._touched(again))
+    assert changes.isEmpty()
+    repeated = maintained.apply_load(state, again, classify)
+    assert content(repeated.totals) == content(state.totals) and content(repeated.queries) == content(state.queries)
+
+
+def test_empty_loads(spark, classify):
+    empty = rows(spark, 7, [1], 0)
+    state = maintained.start(rows(spark, 8, [1, 2]), classify)
+    assert content(maintained.apply_load(state, empty, classify).totals) == content(state.totals)
+    begun = maintained.apply_load(maintained.start(empty, classify), rows(spark, 8, [1, 2]), classify)
+    assert content(begun.totals) == content(state.totals)
+
+
+def test_untouched_rows_are_not_shuffled(spark, classify):
+    state = maintained.start(rows(spark, 9, list(range(50)), 2_000), classify)
+    touched = maintained._touched(rows(spark, 10, [3]))
+    for table in (state.queries, state.totals):
+        untouched, met = maintained.split(table, touched)
+        plan = untouched._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "LeftAnti" in plan
+        assert untouched.where("restaurant_id = 3").isEmpty()
+        assert met.where(F.col("restaurant_id") != 3).isEmpty()
+    changes = maintained.signed_changes(state, rows(spark, 10, [3]), classify, touched)
+    assert [r[0] for r in changes.select("restaurant_id").distinct().collect()] == [3]
