@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -18,7 +19,7 @@ CHUNK_TEXTS = 512
 CHUNK_BYTES = 1 << 20
 
 # Bytes of the batches that Spark hands to Arrow code; a worker and Spark's side of it hold a few of them at a time.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -100,7 +101,15 @@ def keep_nothing() -> None:
     """Let go what this worker keeps. Workers outlive the operator they worked for."""
     if _KEPT:
         _KEPT.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
+
+
+def give_back() -> None:
+    """Return free memory to the machine at the end of a task; an idle worker holds it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def limit_batches(spark: SparkSession) -> None:
@@ -133,5 +142,6 @@ def add_columns(
             made = compute(batch)
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, *made], names=[*names, *(f.name for f in fields)])
+        give_back()
 
     return df.mapInArrow(run, schema)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from querylens.llm.common import byte_words, keep_nothing, limit_batches, text_chunks
+from querylens.llm.common import byte_words, give_back, keep_nothing, limit_batches, text_chunks
 from querylens.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
 from querylens.sources.scratch import materialize
 
@@ -193,6 +193,7 @@ def _with_arrow(df: DataFrame, text: str, fields: list[T.StructField], make) ->
                 at += len(offsets) - 1
                 columns = [part.column(index[f.name]) for f in kept]
                 yield pa.RecordBatch.from_arrays([*columns, *make(data, offsets)], names=schema.names)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

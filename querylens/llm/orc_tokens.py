@@ -24,17 +24,17 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 
 from tokenizers import Tokenizer, pre_tokenizers
 
-from querylens.llm.common import add_columns, kept_for
+from querylens.llm.common import add_columns, give_back, kept_for
 
 END_ID = 1
 STRIPE_BYTES = 16 << 20
 ROWS_PER_GROUP = 1000
 # Pieces between blanks whose ids a worker remembers, half of them recent ones, and the longest of them.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 REMEMBERED_CHARS = 48
 # Texts that are encoded together, and their bytes; one longer text is taken alone.
 TEXTS = 4096
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 _FIELDS = [
     T.StructField("n_tokens", T.LongType()),
@@ -193,6 +193,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = EN
                 columns = [part.column(index[f.name]) for f in kept]
                 yield pa.RecordBatch.from_arrays([*columns, *made], names=schema.names)
                 start += int(offsets[-1])
+        give_back()
 
     return docs.mapInArrow(run, schema)
 
