@@ -14,12 +14,14 @@ from querylens.operators import history, maintained, metrics
 from querylens.operators.classify import classify_queries, clean_queries, with_label_match
 from querylens.operators.flatten import flatten_labels, flatten_search_export, label_names
 from querylens.operators.quality import Check, not_null, quality_report
+from querylens.operators.ranks import with_place
 from querylens.operators.residual import ctr_residual
 from querylens.operators.shares import share_of_total
 from querylens.plans import shapes
 from querylens.plans.build import build, metrics_from_queries
 from querylens.sources.contracts import read_label_export, read_search_export
 from querylens.sources.incremental import LoadTable, incremental_read, latest_per_key, upsert
+from querylens.sources.late import late_arrivals
 from querylens.sources.scratch import materialize, scratch_path
 from querylens.sources.sinks import write_clustered, write_full
 from querylens.streaming.upsert import read_file_stream, stream_upsert
@@ -177,11 +179,23 @@ def q_exact_distinct_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_restaurant_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metric_rows(metrics.restaurant_metrics(unified(spark, sf_dir)))
+    rows = metrics.restaurant_metrics(unified(spark, sf_dir))
+    order = [F.col(c).asc_nulls_last() for c in ("restaurant_id", "search_type", "domain")]
+    return metric_rows(with_place(rows, order))
 
 
 def q_cuisine_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metric_rows(metrics.cuisine_metrics(unified(spark, sf_dir)))
+    rows = metrics.cuisine_metrics(unified(spark, sf_dir))
+    return metric_rows(with_place(rows, [F.col(c).asc_nulls_last() for c in ("cuisine", "search_type")]))
+
+
+def q_sketched_distinct_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = labels(spark, sf_dir)
+    collapsed = metrics.collapse_queries(flat_queries(spark, sf_dir))
+    classified = materialize(classify_queries(collapsed, label_names(labelled), with_score=False), "classified")
+    sketches = materialize(metrics.query_sketches(classified), "sketches")
+    sums = materialize(metrics.entity_totals(classified), "totals")
+    return metric_rows(metrics.sketched_distinct_metrics(sums, labelled, sketches).where("grain <> 'restaurant'"))
 
 
 def q_ctr_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,6 +320,18 @@ def q_maintained_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_rows(metrics.all_grains(state.totals, labelled))
 
 
+def q_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load brings when every seventh event came late, and what the same load brings once more: nothing."""
+    source = events(spark, sf_dir)
+    loaded = _before(source, SPLIT_TIME).where("event_id % 7 <> 0")
+    found = []
+    for load in (1, 2):
+        new = materialize(late_arrivals(source, loaded, ["user_id", "event_id"], "ts"), "late")
+        found.append(_state(new).withColumn("load", F.lit(load)))
+        loaded = loaded.unionByName(new)
+    return found[0].unionByName(found[1])
+
+
 def q_refresh_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label export written over an earlier copy, read back and flattened."""
     path = scratch_path(spark, "label_export")
@@ -442,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "global_metrics": q_global_metrics,
     "unified_metrics": q_unified_metrics,
     "exact_distinct_metrics": q_exact_distinct_metrics,
+    "sketched_distinct_metrics": q_sketched_distinct_metrics,
     "restaurant_metrics": q_restaurant_metrics,
     "cuisine_metrics": q_cuisine_metrics,
     "ctr_residual": q_ctr_residual,
@@ -451,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "clustered_table": q_clustered_table,
     "share_of_total": q_share_of_total,
     "incremental_read": q_incremental_read,
+    "late_arrivals": q_late_arrivals,
     "latest_upsert": q_latest_upsert,
     "merge_loads": q_merge_loads,
     "compact_loads": q_compact_loads,

@@ -380,9 +380,13 @@ FROM (SELECT query AS query_raw, domain, count(*) AS n_rows, CAST(sum(clicks) AS
     "exact_distinct_metrics": f"{_EXACT} SELECT * FROM unified WHERE grain <> 'restaurant'",
     "asof_metrics": _ASOF,
     "maintained_metrics": f"{_LOADED} SELECT * FROM unified",
+    "sketched_distinct_metrics": f"{_EXACT} SELECT * FROM unified WHERE grain <> 'restaurant'",
     "restaurant_metrics": f"""{_UNIFIED}
-SELECT restaurant_id, domain, search_type, {_METRICS} FROM unified WHERE grain = 'restaurant'""",
-    "cuisine_metrics": f"{_UNIFIED} SELECT cuisine, search_type, {_METRICS} FROM unified WHERE grain = 'cuisine'",
+SELECT restaurant_id, domain, search_type, {_METRICS},
+       row_number() OVER (ORDER BY restaurant_id NULLS LAST, search_type NULLS LAST, domain NULLS LAST) AS place FROM unified WHERE grain = 'restaurant'""",
+    "cuisine_metrics": f"""{_UNIFIED}
+SELECT cuisine, search_type, {_METRICS}, row_number() OVER (ORDER BY cuisine NULLS LAST, search_type NULLS LAST) AS place
+FROM unified WHERE grain = 'cuisine'""",
     "ctr_residual": f"{_UNIFIED} {_RESIDUAL}",
     "build_from_exports": f"{_UNIFIED} SELECT * FROM unified",
     "full_build": f"""{_UNIFIED}
@@ -397,6 +401,9 @@ FROM lines""",
     "incremental_read": """
 SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type, value
 FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00')""",
+    "late_arrivals": """
+SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type, value, 1 AS load
+FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00' OR event_id % 7 = 0""",
     "latest_upsert": _LATEST,
     "merge_loads": _LATEST,
     "compact_loads": _LATEST,

@@ -120,7 +120,8 @@ def test_each_written_table_equals_sql(whole, table, query):
     df = whole.tables()[table]
     df = df.withColumns({f.name: F.round(f.name, 6) + 0.0 for f in df.schema.fields if f.dataType.simpleString() == "double"})
     con = connect(SF_DIR)
-    names, expected = duck_rows(con, ORACLE_SQL[query])
+    sql = f"SELECT COLUMNS(c -> c <> 'place') FROM ({ORACLE_SQL[query]})"  # the order is that of the query, not of the table
+    names, expected = duck_rows(con, sql)
     columns, found = spark_rows(df)
     assert columns == names
     assert found == [tuple(round(v, 6) + 0.0 if isinstance(v, float) else v for v in r) for r in expected]

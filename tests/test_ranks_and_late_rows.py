@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from querylens.operators import metrics
+from querylens.operators.ranks import with_place
+from querylens.sources.late import late_arrivals, may_be_seen, seen_filter
+
+DAY = datetime.datetime(2024, 1, 1)
+
+
+def test_places_are_those_of_a_sort(spark):
+    df = spark.range(5_000).select((F.col("id") * 7919 % 5_003).alias("a"), (F.col("id") % 3).alias("b")).repartition(9)
+    placed = with_place(df, [F.col("b").desc(), F.col("a").asc()])
+    assert placed.columns == ["a", "b", "place"]
+    rows = sorted((tuple(r) for r in placed.collect()), key=lambda r: r[2])
+    assert [r[2] for r in rows] == list(range(1, 5_001))
+    assert [r[:2] for r in rows] == sorted((r[:2] for r in rows), key=lambda r: (-r[1], r[0]))
+
+
+def test_places_of_equal_rows_and_none(spark):
+    equal = with_place(spark.range(100).select(F.lit(None).cast("int").alias("a")), [F.col("a").asc_nulls_last()])
+    assert sorted(r["place"] for r in equal.collect()) == list(range(1, 101))
+    assert with_place(spark.range(0), [F.col("id")]).collect() == []
+
+
+def rows(spark, which):
+    made = [(i % 7 if i % 11 else None, i, DAY + datetime.timedelta(minutes=i // 3) if i % 13 else None) for i in which]
+    return spark.createDataFrame(made, "k int, i int, at timestamp_ntz")
+
+
+@pytest.mark.parametrize("late", [3, 50])
+def test_late_rows_come_once(spark, late):
+    source = rows(spark, range(3_000))
+    loaded = rows(spark, [i for i in range(2_000) if i % late])
+    found = late_arrivals(source, loaded, ["k", "i"], "at").collect()
+    assert sorted(r["i"] for r in found) == [i for i in range(3_000) if i >= 2_000 or not i % late]
+    again = late_arrivals(source, loaded.unionByName(spark.createDataFrame(found, source.schema)), ["k", "i"], "at")
+    assert again.isEmpty()
+
+
+def test_nothing_loaded_yet(spark):
+    source = rows(spark, range(10))
+    assert late_arrivals(source, None, ["k", "i"], "at").count() == 10
+    assert late_arrivals(source, source.limit(0), ["k", "i"], "at").count() == 10
+    assert late_arrivals(source.limit(0), source, ["k", "i"], "at").count() == 0
+    untimed = source.withColumn("at", F.lit(None).cast("timestamp_ntz"))
+    assert late_arrivals(untimed, untimed.where("i < 5"), ["k", "i"], "at").count() == 5
+
+
+def test_the_filter_misses_none_and_holds_back_few(spark):
+    known, unknown = spark.range(40_000), spark.range(40_000, 80_000)
+    seen, blocks = seen_filter(known, ["id"])
+    assert blocks == 20
+    assert may_be_seen(known, seen, ["id"], blocks).where("not _seen").isEmpty()
+    assert may_be_seen(unknown, seen, ["id"], blocks).where("_seen").count() < 200
+
+
+def test_sketches_merge_within_their_error(spark):
+    df = spark.range(60_000).select(
+        (F.col("id") % 10).cast("string").alias("restaurant_id"), F.lit("Branded").alias("search_type"),
+        (F.col("id") % 20_000).cast("string").alias("query_raw"),
+    )
+    sketches = metrics.query_sketches(df)
+    (overall,) = metrics.merged_sketches(sketches, ["search_type"]).collect()
+    assert abs(overall["distinct_queries"] - 20_000) < 4 * 20_000 / 64
+    each = metrics.merged_sketches(sketches, ["restaurant_id", "search_type"]).collect()
+    assert all(r["distinct_queries"] == 2_000 for r in each)  # below the sketch's size counts are exact
+    halves = metrics.query_sketches(df.where("query_raw < '5'")).unionByName(metrics.query_sketches(df.where("query_raw >= '5'")))
+    assert metrics.merged_sketches(halves, ["search_type"]).collect() == [overall]
