@@ -133,12 +133,13 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> Iterator[bool]:
 
 
 def _drawn(labelled: DataFrame, sample: int) -> DataFrame:
-    """At most about ``sample`` rows of each language, drawn by a hash of the text."""
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """At most about ``sample`` different texts of each language, drawn by a hash of the text; copies count once."""
+    different = labelled.select("lang", F.xxhash64("text").alias("hash")).distinct()
+    counts = {r["lang"]: r["n"] for r in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, min(1.0, sample / n)).otherwise(share)
-    return labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
+    return labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30)).distinct()
 
 
 def _fit_pairs(rows: DataFrame, label: str, classes: list[str]) -> Pairwise:

@@ -115,3 +115,12 @@ def test_query_on_held_out_documents(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_copies_neither_flood_nor_starve_the_sample(spark):
+    rows = [("the same page", "en")] * 5_000 + [(f"page {i} of fifty", "en") for i in range(50)] + [("une page", "fr")] * 3
+    labelled = spark.createDataFrame(rows, "text string, lang string").select("text", "lang")
+    drawn = langid._drawn(labelled, 1_000).collect()
+    assert len(drawn) == len(set(drawn)) == 52
+    few = langid._drawn(labelled, 10).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in few}["en"] < 30
