@@ -124,11 +124,15 @@ def limit_batches(spark: SparkSession) -> None:
 
 
 def add_columns(
-    df: DataFrame, fields: Sequence[T.StructField], compute: Callable[[pa.RecordBatch], Sequence[pa.Array]]
+    df: DataFrame,
+    fields: Sequence[T.StructField],
+    compute: Callable[[pa.RecordBatch], Sequence[pa.Array]],
+    keep: bool = False,
 ) -> DataFrame:
     """``df`` with the columns ``compute`` makes of each Arrow batch.
 
-    A column of ``df`` with the name of a new one is replaced, as ``withColumn`` does.
+    Workers let go what they keep for other operators, unless ``keep`` says
+    that this is a step of the same one. A column of ``df`` with the name of a new one is replaced, as ``withColumn`` does.
     """
     limit_batches(df.sparkSession)
     new = {f.name.lower() for f in fields}
@@ -137,7 +141,8 @@ def add_columns(
     names = [f.name for f in kept]
 
     def run(batches):
-        keep_nothing()
+        if not keep:
+            keep_nothing()
         for batch in batches:
             made = compute(batch)
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]

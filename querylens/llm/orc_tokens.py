@@ -32,6 +32,8 @@ ROWS_PER_GROUP = 1000
 # Pieces between blanks whose ids a worker remembers, half of them recent ones, and the longest of them.
 REMEMBERED = 100_000
 REMEMBERED_CHARS = 48
+# New pieces that are encoded together: the tokenizer's own results take a kilobyte or so each.
+LEARNED_AT_ONCE = 8192
 # Texts that are encoded together, and their bytes; one longer text is taken alone.
 TEXTS = 4096
 TEXT_BYTES = 2 << 20
@@ -133,7 +135,8 @@ class TextEncoder:
                 found[i] = known[piece] = older[piece]
             else:
                 new.append(i)
-        self._learn([distinct[i] for i in new])
+        for start in range(0, len(new), LEARNED_AT_ONCE):
+            self._learn([distinct[i] for i in new[start : start + LEARNED_AT_ONCE]])
         for i in new:
             piece = distinct[i]
             found[i] = known.pop(piece) if len(piece) > REMEMBERED_CHARS else known[piece]
@@ -260,4 +263,4 @@ def with_checksum(rows: DataFrame) -> DataFrame:
         sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         return [pa.array(sums, pa.int64())]
 
-    return add_columns(rows, [T.StructField("ids_crc32", T.LongType())], compute).drop("tokens")
+    return add_columns(rows, [T.StructField("ids_crc32", T.LongType())], compute, keep=True).drop("tokens")
