@@ -64,11 +64,11 @@ def containment(left: Column, right: Column) -> Column:
 
 
 def resemblance(left: Column, right: Column) -> Column:
-    """Estimated Jaccard similarity of the shingles; 0 if both sketches are empty."""
+    """Estimated Jaccard similarity of the shingles; 1 if both sketches are empty, as they are equal then."""
 
     def share(common: Column) -> Column:
         both = F.size(left) + F.size(right) - common
-        return F.when(both > 0, common / both).otherwise(0.0)
+        return F.when(both > 0, common / both).otherwise(1.0)
 
     return _let(F.size(F.array_intersect(left, right)), share)
 

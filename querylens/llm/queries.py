@@ -97,18 +97,14 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("edited", edited)
     rows = rows.withColumn("edited_sketch", fingerprint.sketch(F.col("edited")))
 
-    def likeness(other_text: str, other: str):
-        same = F.col("text") == F.col(other_text)
-        return F.when(same, 1.0).otherwise(fingerprint.resemblance(F.col("sketch"), F.col(other)))
-
     return rows.select(
         "doc_id",
         size.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint.as_text(F.col("sketch")).alias("fingerprint"),
         fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness("edited", "edited_sketch").alias("near_edited"),
-        likeness("next_text", "next_sketch").alias("near_next"),
+        fingerprint.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprint.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
         fingerprint.containment(F.col("sketch"), F.col("edited_sketch")).alias("contained_in_edited"),
         fingerprint.containment(F.col("sketch"), F.col("next_sketch")).alias("contained_in_next"),
     )
