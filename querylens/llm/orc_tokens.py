@@ -14,6 +14,7 @@ beside them (``files``) holds.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 
 from tokenizers import Tokenizer, pre_tokenizers
 
-from querylens.llm.common import add_columns, give_back, kept_for
+from querylens.llm.common import add_columns, give_back, kept_for, limit_batches
 
 END_ID = 1
 STRIPE_BYTES = 16 << 20
@@ -166,6 +167,12 @@ class TextEncoder:
         return np.concatenate([np.empty(0, self.type), *found]), np.array([len(x) for x in found], np.int64)
 
 
+def _one_core_encoder(path: str) -> TextEncoder:
+    """An encoder for a worker, which has one core; threads of the library would each keep memory of their own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return TextEncoder(path)
+
+
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = END_ID) -> DataFrame:
     """``docs`` with ``tokens`` in place of the text, ``n_tokens``, and ``file_start``: the tokens before it in its task.
 
@@ -174,9 +181,10 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = EN
     """
     kept = [f for f in docs.schema.fields if f.name != text and f.name not in {x.name for x in _FIELDS}]
     schema = T.StructType([*kept, *_FIELDS])
+    limit_batches(docs.sparkSession)
 
     def run(batches):
-        encoder, start = kept_for(f"encoder of {tokenizer}", lambda: TextEncoder(tokenizer)), 0
+        encoder, start = kept_for(f"encoder of {tokenizer}", lambda: _one_core_encoder(tokenizer)), 0
         for batch in batches:
             index = {f.name: i for i, f in enumerate(batch.schema)}
             ends = np.cumsum(pc.binary_length(batch.column(index[text])).fill_null(0).to_numpy(), dtype=np.int64)
@@ -193,7 +201,8 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = EN
                 columns = [part.column(index[f.name]) for f in kept]
                 yield pa.RecordBatch.from_arrays([*columns, *made], names=schema.names)
                 start += int(offsets[-1])
-        give_back()
+            # What is remembered lies between the pieces of what isn't, which the process would hold as free memory.
+            give_back()
 
     return docs.mapInArrow(run, schema)
 
