@@ -20,6 +20,7 @@ from querylens.functions.brands import (
 )
 from querylens.functions.text import brand_name, normalize_query
 from querylens.operators.joins import BROADCAST_BYTES, lookup_join
+from querylens.operators.rule_index import with_any_rule
 from querylens.sources.scratch import materialize
 
 BRANDED = "Branded"
@@ -52,7 +53,7 @@ def with_label_match(
 def classify_queries(
     queries: DataFrame,
     names: DataFrame,
-    rules: Sequence[Rule] = OVERRIDES,
+    rules: Sequence[Rule] | DataFrame = OVERRIDES,
     with_score: bool = True,
     lowercase_first: bool = False,
     lower_names: bool = False,
@@ -64,7 +65,8 @@ def classify_queries(
     Branded means: the query matches the brand by similarity, substring, words
     or prefix and is not a general one, or an override says so. Anything that
     cannot be decided is unbranded. Without ``with_score`` the similarity is
-    only computed where the cheaper rules leave the answer open.
+    only computed where the cheaper rules leave the answer open. ``rules`` may
+    be a table of any number of them (brand, pattern, field, regex), which is joined.
     """
     cleaned = clean_queries(queries, lowercase_first)
     kept = cleaned.columns
@@ -83,7 +85,12 @@ def classify_queries(
         | fuzzy
     )
     general = exclude_false_positives(query, brand, raw, F.col("label"))
-    branded = (~general & matches) | brand_overrides(query, brand, raw, rules)
+    if isinstance(rules, DataFrame):
+        labelled = with_any_rule(labelled, rules, out="_ruled", max_bytes=max_bytes)
+        overridden = F.col("_ruled")
+    else:
+        overridden = brand_overrides(query, brand, raw, rules)
+    branded = (~general & matches) | overridden
     return labelled.select(*kept, F.when(branded, BRANDED).otherwise(UNBRANDED).alias("search_type"))
 
 

@@ -16,6 +16,7 @@ from querylens.operators.flatten import flatten_labels, flatten_search_export, l
 from querylens.operators.quality import Check, not_null, quality_report
 from querylens.operators.ranks import with_place
 from querylens.operators.residual import ctr_residual
+from querylens.operators.rule_index import with_any_rule
 from querylens.operators.shares import share_of_total
 from querylens.plans import shapes
 from querylens.plans.build import build, metrics_from_queries
@@ -445,6 +446,12 @@ def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(broken_tables(spark, sf_dir), BROKEN_CHECKS)
 
 
+def q_indexed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which distinct queries any of the rules made from the parts fits."""
+    found = with_any_rule(pairs(spark, sf_dir), shapes.part_rules(spark, sf_dir))
+    return found.select(RAW, "domain", "n_rows", "ruled")
+
+
 QUERIES: dict[str, Query] = {
     "flatten_props": q_flatten_props,
     "flatten_search_export": q_flatten_search_export,
@@ -461,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "match_prefix": _rule_query("matched", lambda q, b, r: rules.match_prefix(q, b)),
     "exclude_false_positives": q_exclude_false_positives,
     "brand_overrides": _rule_query("overridden", rules.brand_overrides),
+    "indexed_rules": q_indexed_rules,
     "classify_queries": q_classify_queries,
     "classify_rules": q_classify_rules,
     "entity_metrics": q_entity_metrics,

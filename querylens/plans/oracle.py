@@ -368,6 +368,20 @@ SELECT DISTINCT q AS query_cleaned, b AS domain_name_cleaned, round(jaro_winkler
     "match_prefix": _flag("matched", _PREFIX),
     "exclude_false_positives": _flag("excluded", _GENERAL),
     "brand_overrides": _flag("overridden", _OVERRIDE),
+    "indexed_rules": f"""WITH {_FLAT}, {_RULES}, {_PAIRS},
+rules AS (
+  SELECT DISTINCT p_partkey % 4 = 1 AND p_partkey % 5 = 0 AS regex, p_partkey % 3 = 2 AS of_raw,
+         CASE p_partkey % 4 WHEN 0 THEN adj || '%' WHEN 1 THEN '%' || noun || '%' WHEN 2 THEN '%' || substr(noun, 2, 3) || '%ok'
+           ELSE '%' END AS brand,
+         CASE WHEN p_partkey % 4 = 1 AND p_partkey % 5 = 0 THEN '^' || adj || '.*(menu|near)'
+           WHEN p_partkey % 3 = 0 THEN '%' || noun || 's%' WHEN p_partkey % 3 = 1 THEN adj || ' ' || noun || '_%'
+           ELSE '_%' || substr(noun, 2, 3) || '% near%' END AS pattern
+  FROM (SELECT p_partkey, split_part(p_name, ' ', 1) AS adj, split_part(p_name, ' ', 2) AS noun FROM part)),
+fitting AS (
+  SELECT DISTINCT query_raw, domain FROM pairs JOIN rules ON b LIKE brand AND CASE
+    WHEN regex THEN regexp_matches(query_raw, pattern) WHEN of_raw THEN query_raw LIKE pattern ELSE q LIKE pattern END)
+SELECT p.query_raw, p.domain, p.n_rows, f.domain IS NOT NULL AS ruled
+FROM pairs p LEFT JOIN fitting f ON f.query_raw = p.query_raw AND f.domain = p.domain""",
     "classify_queries": f"WITH {_FLAT}, {_LABELS}, {_CLASSIFIED} SELECT * EXCLUDE (reported) FROM classified",
     "classify_rules": f"""WITH {_BRANDS}, {_LABELS}, {_RULES}, {_ALL_NAMES}
 SELECT query_raw, domain, n_rows, clicks, q AS query_cleaned, b AS domain_name_cleaned, {_TYPE} AS search_type

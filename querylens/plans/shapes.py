@@ -250,3 +250,20 @@ def dated_labels(labels: DataFrame) -> DataFrame:
     dated = labels.select("restaurant_id", "cuisine", F.inline(stored)).where((F.col("restaurant_id") + F.col("i")) % 4 != 0)
     fusion = (F.col("restaurant_id") + F.col("i")) % 3 == 0
     return dated.select("snapshot_date", "restaurant_id", F.when(fusion, "fusion").otherwise(F.col("cuisine")).alias("cuisine"))
+
+
+def part_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule (brand, pattern, field, regex) for each part, from the two words of its name; many are alike."""
+    part = table(spark, sf_dir, "part")
+    adj, noun, key = _word(F.col("p_name"), 0), _word(F.col("p_name"), 1), F.col("p_partkey")
+    tail = F.substring(noun, F.lit(2), F.lit(3))
+    brand = _picked([F.concat(adj, F.lit("%")), F.concat(F.lit("%"), noun, F.lit("%")), F.concat(F.lit("%"), tail, F.lit("%ok")), F.lit("%")], key)
+    like = _picked([F.concat(F.lit("%"), noun, F.lit("s%")), F.concat(adj, F.lit(" "), noun, F.lit("_%")), F.concat(F.lit("_%"), tail, F.lit("% near%"))], key)
+    regex = (key % 4 == 1) & (key % 5 == 0)
+    field = F.when(regex | (key % 3 == 2), "raw").otherwise("query")
+    return part.select(
+        brand.alias("brand"),
+        F.when(regex, F.concat(F.lit("^"), adj, F.lit(".*(menu|near)"))).otherwise(like).alias("pattern"),
+        field.alias("field"),
+        regex.alias("regex"),
+    )
