@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -100,3 +100,32 @@ def quality_report(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CH
             parts.append(_row_checks(df, by_row))
         parts += [_unique_check(df, c) for c in mine if c.kind == "unique"]
     return reduce(DataFrame.unionByName, parts)
+
+
+class WatchedChecks:
+    """Row checks that are counted while tables are written, so that none is read again for them.
+
+    ``watch`` adds the counts of a table's checks to its plan; they are there
+    once the plan is written. Put it where rows pass once, at the end of a
+    written plan or on an input of one without a shuffle: Spark counts each
+    task that ends the job once, repeated ones too.
+    """
+
+    def __init__(self, checks: Sequence[Check] = CHECKS):
+        self.checks = checks
+        self.seen: list[tuple[list[Check], Observation]] = []
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        mine = [c for c in self.checks if c.table == name and c.kind != "unique"]
+        if not mine:
+            return df
+        seen = Observation(f"checks of {name}")
+        self.seen.append((mine, seen))
+        return df.observe(seen, *[F.count(F.when(c.fails(), 1)).alias(f"c{i}") for i, c in enumerate(mine)])
+
+    def report(self, spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """As ``quality_report``, once all watched tables are written; only columns that must be unique are read from ``tables``."""
+        rows = [(c.table, c.column, c.label(), seen.get[f"c{i}"]) for mine, seen in self.seen for i, c in enumerate(mine)]
+        counted = spark.createDataFrame(rows, _RESULT.removeprefix("struct<").removesuffix(">"))
+        unique = [_unique_check(tables[c.table], c) for c in self.checks if c.kind == "unique" and c.table in tables]
+        return reduce(DataFrame.unionByName, unique, counted)

@@ -16,7 +16,7 @@ from querylens.operators.metrics import (
     restaurant_metrics,
     unified_metrics,
 )
-from querylens.operators.quality import quality_report
+from querylens.operators.quality import WatchedChecks, quality_report
 from querylens.operators.residual import ctr_residual
 from querylens.sources.scratch import materialize
 from querylens.sources.sinks import write_clustered, write_full
@@ -36,11 +36,15 @@ class Build:
     restaurant_metrics: DataFrame
     cuisine_metrics: DataFrame
     ctr_residual: DataFrame
+    # The declared checks as counted while the tables were written, if they were.
+    watched: WatchedChecks | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "watched"}
 
     def check(self) -> DataFrame:
+        if self.watched:
+            return self.watched.report(self.queries.sparkSession, self.tables())
         return quality_report(self.tables())
 
 
@@ -61,7 +65,8 @@ def build(
 
     With ``root`` each table is written under it, the unified one clustered,
     and the next is computed from what was written, so that documents are
-    parsed and each query of a domain classified once. Without it only the unified metrics
+    parsed and each query of a domain classified once. The declared checks are
+    counted while writing. Without it only the unified metrics
     are stored, in scratch, for the three tables and the checks that read
     them; classified queries remain a plan.
     """
@@ -71,11 +76,15 @@ def build(
             return df
         path = f"{root.rstrip('/')}/{name}"
         write = write_clustered if name == "unified_metrics" else write_full
-        write(df, path)
-        return df.sparkSession.read.parquet(path).select(*df.columns)
+        write(watched.watch(name, df), path)
+        return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
-    queries = keep("queries", flatten_search_export(search_export))
-    labels = keep("labels", flatten_labels(label_export))
+    def read(name: str, df: DataFrame) -> DataFrame:
+        return watched.watch(name, df) if root else df
+
+    watched = WatchedChecks()
+    queries = keep("queries", flatten_search_export(read("search_export", search_export)))
+    labels = keep("labels", flatten_labels(read("label_export", label_export)))
     names = keep("label_names", label_names(labels))
     classify = classify_each_once if root else classify_queries
     classified = keep("classified_queries", classify(queries, names, rules))
@@ -94,4 +103,5 @@ def build(
         restaurant_metrics=keep("restaurant_metrics", restaurant_metrics(unified)),
         cuisine_metrics=keep("cuisine_metrics", cuisine_metrics(unified)),
         ctr_residual=keep("ctr_residual", ctr_residual(unified)),
+        watched=watched if root else None,
     )

@@ -8,6 +8,7 @@ import pytest
 from oracle_compare import connect, duck_rows, spark_rows
 from pyspark.sql import functions as F
 
+from querylens.operators import quality
 from querylens.operators.classify import classify_each_once, classify_queries
 from querylens.plans import shapes
 from querylens.plans.build import build
@@ -120,7 +121,7 @@ def test_each_written_table_equals_sql(whole, table, query):
     df = whole.tables()[table]
     df = df.withColumns({f.name: F.round(f.name, 6) + 0.0 for f in df.schema.fields if f.dataType.simpleString() == "double"})
     con = connect(SF_DIR)
-    sql = f"SELECT COLUMNS(c -> c <> 'place') FROM ({ORACLE_SQL[query]})"  # the order is that of the query, not of the table
+    sql = f"SELECT COLUMNS(lambda c: c <> 'place') FROM ({ORACLE_SQL[query]})"  # the order is that of the query, not of the table
     names, expected = duck_rows(con, sql)
     columns, found = spark_rows(df)
     assert columns == names
@@ -134,3 +135,25 @@ def test_each_pair_is_scored_once(spark):
     plan = once._jdf.queryExecution().executedPlan().toString()
     assert "aggregate(" not in plan and "regexp_replace" not in plan  # the text work is done on the stored pairs
     assert sorted(map(str, once.collect())) == sorted(map(str, classify_queries(queries, names).select(*once.columns).collect()))
+
+
+def faulty(exports, spark, empty=False):
+    raw, labels = exports
+    more = spark.createDataFrame([(None, None, document(("x", None, None, 4, None)))], "restaurant_id int, domain string, data string")
+    raw = raw.unionByName(more.selectExpr("*", "null _updated_at", "null _created_at", "'ok' status"))
+    labels = labels.unionByName(spark.createDataFrame([(None, None)], labels.schema))
+    return (raw.limit(0), labels.limit(0)) if empty else (raw, labels)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_checks_counted_while_writing_are_those_of_the_tables(exports, spark, tmp_path, empty):
+    built = build(*faulty(exports, spark, empty), root=str(tmp_path))
+    counted, again = (sorted(map(tuple, x.collect())) for x in (built.check(), quality.quality_report(built.tables())))
+    assert counted == again and len(counted) == 36
+    assert any(r[-1] for r in counted) is not empty
+
+
+def test_only_unique_columns_are_read_again(exports, tmp_path):
+    built = build(*exports, root=str(tmp_path))
+    plan = built.check()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "label_names" in plan
