@@ -13,6 +13,8 @@ from querylens.sources.scratch import materialize
 
 # Rows of one key that a single task is meant to sort.
 SLICE_ROWS = 2_000_000
+# Rows of heavy keys that a task puts in order before they are cut; smaller slices share such a task.
+RANGE_ROWS = 250_000
 
 
 # --- dated snapshots -------------------------------------------------------
@@ -143,16 +145,19 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int, n: int | None = No
 _COUNTERS_EACH = 8
 _LEAST_COUNTERS = 100
 _MOST_COUNTERS = 1_000_000
+# monotonically_increasing_id has the number of the partition above these bits and the row's place below.
+_RANGE_BITS = 33
 
 
 def _slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int) -> _Sliced:
     """Cut the rows of keys with more than ``slice_rows`` into about as many slices of that size, along ``order``.
 
     All other keys are left whole, however many there are. The heavy ones are
-    cut at sampled quantiles of their own order, so a key all of whose rows
-    have the same time is cut as well, by what else the order has.
+    put in their own order, in ranges of ``RANGE_ROWS`` at least, and each range is
+    cut by place. So there are as many tasks as the rows need, however small the slices, and a key
+    all of whose rows have the same time is cut as well.
     """
-    whole = _Sliced(df.withColumn("_slice", F.lit(None).cast("int")), tuple(keys), heavy=False)
+    whole = _Sliced(df.withColumn("_slice", F.lit(None).cast("bigint")), tuple(keys), heavy=False)
     n = df.count()
     if n <= slice_rows:
         return whole
@@ -163,9 +168,13 @@ def _slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows:
     heavy = F.broadcast(heavy.select("_key"))  # n / slice_rows rows at most
     hashed = df.withColumn("_key", F.xxhash64(*keys))
     cut = hashed.join(heavy, "_key", "left_semi").drop("_key")
-    cut = cut.repartitionByRange(max(2, -(-rows // slice_rows)), *keys, *order)
-    cut = materialize(cut.withColumn("_slice", F.spark_partition_id()), "slices")
-    light = hashed.join(heavy, "_key", "left_anti").drop("_key").withColumn("_slice", F.lit(None).cast("int"))
+    cut = cut.repartitionByRange(max(2, -(-rows // max(slice_rows, RANGE_ROWS))), *keys, *order)
+    # Each range begins at a multiple of 2 ** _RANGE_BITS.
+    place = F.monotonically_increasing_id()
+    slice_ = F.expr(f"_place - pmod(pmod(_place, {1 << _RANGE_BITS}), {slice_rows})")
+    cut = cut.sortWithinPartitions(*keys, *order).withColumn("_place", place)
+    cut = materialize(cut.withColumn("_slice", slice_).drop("_place"), "slices")
+    light = hashed.join(heavy, "_key", "left_anti").drop("_key").withColumn("_slice", F.lit(None).cast("bigint"))
     return _Sliced(light.unionByName(cut), tuple(keys), heavy=True)
 
 

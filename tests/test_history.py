@@ -194,3 +194,15 @@ def test_each_fact_gets_the_snapshot_of_its_day(spark, tmp_path):
         assert sorted(((r["k"], r["at"], r["v"]) for r in left.collect()), key=str) == sorted(inner + missing, key=str)
     none = history.snapshots_in_effect(df, snapshots.limit(0), ["k"], "at")
     assert none.count() == 0
+
+
+def test_small_slices_share_tasks_and_files(spark):
+    df = spark.range(3_000).select((F.col("id") % 3).alias("k"), F.pmod(F.xxhash64("id"), F.lit(500)).alias("at"), "id")
+    sliced = history._slice(df, ["k"], ["at", "id"], 5)
+    assert len(sliced.rows.where("_slice is not null").inputFiles()) <= 4  # 600 with a task for each slice
+    sizes = sliced.rows.groupBy("_slice").count()
+    assert sizes.agg(F.max("count"), F.count("*")).first()[0] == 5 and sizes.count() <= 602
+    spans = sliced.rows.groupBy("k", "_slice").agg(F.min(F.struct("at", "id")).alias("first"), F.max(F.struct("at", "id")).alias("last"))
+    for key in range(3):
+        line = spans.where(F.col("k") == key).orderBy("_slice").collect()
+        assert all(a.last < b.first for a, b in zip(line, line[1:], strict=False))
