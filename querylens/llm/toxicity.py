@@ -7,7 +7,7 @@ lattice of the letters each character may stand for and of the places where a
 word may end. The likeliest path through known words, the channel's costs
 included, gives the restored words; where known words give none, the path that a
 character model finds likeliest does (Viterbi). The model counts the words of
-all documents; known words are those of several documents of a sample. The score comes from a logistic model on words and
+all documents, and known words are those of enough of all different documents. The score comes from a logistic model on words and
 beginnings of words of the restored text.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import copy
 import functools
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from querylens.llm.common import add_columns, give_back, keep_nothing, limit_batches, text_bytes, text_chunks
+from querylens.operators.joins import BROADCAST_BYTES, measured_bytes
 from querylens.sources.scratch import materialize
 
 # Labelled documents of each kind that the logistic model is fitted on, at most; drawn by a hash of their id.
@@ -32,6 +34,10 @@ SAMPLE = 10_000
 # Words and beginnings that the logistic model weighs, at most, and the toxic documents each must occur in.
 FEATURES = 4000
 LEAST_DOCS = 3
+# Share of the different texts that a known word must occur in; three in twenty thousand.
+LEAST_SHARE = 1.5e-4
+# Words that a task counts before it sends their sums.
+COUNTED = 200_000
 BEGINNINGS = (5, 6, 7, 8, 9)  # bytes
 PENALTY = 1.0
 SYMBOLS = 64
@@ -106,21 +112,33 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return counts.groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def common_words(texts: DataFrame) -> list[bytes]:
-    """The words in at least ``LEAST_DOCS`` of a sample's texts, its only column; longer ones than ``WORD_CHARS`` are none."""
+def common_words(texts: DataFrame, least: int = LEAST_DOCS) -> list[bytes]:
+    """The words in at least ``least`` of the texts, the only column; longer ones than ``WORD_CHARS`` are none.
+
+    Each task adds up its texts and sends the sums, earlier if it has ``COUNTED`` words.
+    """
 
     limit_batches(texts.sparkSession)
 
+    def sums(seen: Counter[bytes]) -> pa.RecordBatch:
+        kept = [x for x in seen if len(x) <= WORD_CHARS or len(x.decode(errors="ignore")) <= WORD_CHARS]
+        return pa.RecordBatch.from_arrays([pa.array(kept, pa.binary()), pa.array([seen[x] for x in kept], pa.int64())], names=["word", "n"])
+
     def run(batches):
+        keep_nothing()
+        seen: Counter[bytes] = Counter()
         for batch in batches:
-            seen: Counter[bytes] = Counter()
             for text in text_bytes(batch.column(0)):
-                seen.update({x for x in text.translate(_PLAIN).split() if len(x) <= WORD_CHARS or len(x.decode(errors="ignore")) <= WORD_CHARS})
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+                # No character has more than four bytes.
+                seen.update([x for x in set(text.translate(_PLAIN).split()) if len(x) <= 4 * WORD_CHARS])
+                if len(seen) >= COUNTED:
+                    yield sums(seen)
+                    seen.clear()
+        yield sums(seen)
         give_back()
 
     counts = texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in counts.where(F.col("n") >= LEAST_DOCS).select("word").collect()]
+    return [bytes(r["word"]) for r in counts.where(F.col("n") >= least).select("word").collect()]
 
 
 class CharacterModel:
@@ -496,17 +514,30 @@ def _restorer(shared) -> Restorer:
     return _RESTORERS[key]
 
 
+def different_texts(texts: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, int]:
+    """Each different text of ``texts``, the only column, once, and their number by hashes.
+
+    Only texts whose hash occurs again are shuffled, unless there are too many such hashes to broadcast.
+    """
+    hashed = texts.select(F.col(texts.columns[0]).alias("text")).withColumn("hash", F.xxhash64("text"))
+    counted = materialize(hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")), "text-hashes")
+    again = counted.where("n > 1").select("hash")
+    if measured_bytes(again) > max_bytes:
+        return hashed.select("text").distinct(), counted.count()
+    again = F.broadcast(again)
+    alone = hashed.join(again, "hash", "left_anti").select("text")
+    return alone.unionByName(hashed.join(again, "hash", "left_semi").select("text").distinct()), counted.count()
+
+
 def character_model(docs: DataFrame, text: str = "text") -> CharacterModel:
-    """The character model of the words of all texts, and the words of a sample of the different ones.
+    """The character model of the words of all texts, and the known words, counted in all the different texts.
 
-    Copies count once, in the share that is drawn as in what is drawn.
+    Copies count once. A word is known if it is in ``LEAST_DOCS`` of the texts and in a share ``LEAST_SHARE`` of them,
+    so the list is bounded by the words a text has on average over that share, however many texts there are.
     """
     counts = np.array([tuple(r) for r in trigram_counts(docs, text).collect()], np.int64).reshape(-1, 2)
-    texts = docs.select(F.col(text).alias("text"))
-    hashed = F.xxhash64("text")
-    share = min(1.0, 2 * SAMPLE / max(texts.select(hashed.alias("hash")).distinct().count(), 1))
-    drawn = texts.where(F.pmod(hashed, F.lit(1 << 30)) < share * (1 << 30)).distinct()
-    return CharacterModel(counts[:, 0], counts[:, 1], common_words(drawn))
+    texts, n = different_texts(docs.select(text))
+    return CharacterModel(counts[:, 0], counts[:, 1], common_words(texts, max(LEAST_DOCS, math.ceil(LEAST_SHARE * n))))
 
 
 def score(docs: DataFrame, model: CharacterModel, weights: Weights, text: str = "text") -> DataFrame:

@@ -196,3 +196,17 @@ def test_known_words_are_measured_in_characters(spark):
     texts = spark.createDataFrame([(f"{word} {i}",) for i in range(toxicity.LEAST_DOCS)] + [("x" * 33,)] * 50, "text string")
     found = toxicity.common_words(texts)
     assert word.encode() in found and b"x" * 33 not in found
+
+
+def test_known_words_are_counted_in_all_texts(spark, monkeypatch):
+    """A word in three of many texts is known, whichever texts it is in; copies and NULL count once."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 10)
+    texts = [f"all only{i} {'zug' if i % 100 == 7 else ''}" for i in range(300)] + ["copied"] * 50 + [None] * 9
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert toxicity.character_model(docs).words == {b"all", b"only", b"zug"}
+    for limit in (0, 1 << 20):
+        found, n = toxicity.different_texts(docs, limit)
+        assert n == 302 and sorted(found.collect(), key=str) == sorted([(t,) for t in set(texts)], key=lambda r: f"Row(text={r[0]!r})")
+    # In 40,000 texts a word must be in six.
+    more = spark.range(40_000).selectExpr("concat('all ', translate(cast(id as string), '0123456789', 'abcdefghij'), if(id < 6, ' six', ''), if(id < 5, ' five', '')) as text")
+    assert toxicity.character_model(more).words == {b"all", b"six"}
