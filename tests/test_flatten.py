@@ -95,3 +95,12 @@ def test_labels(spark):
     found = sorted((tuple(r) for r in flatten_labels(df).collect()), key=str)
     assert found == [("1", "Pizza"), ("1", "Thai"), ("2", "Thai"), ("2", "Thai"), ("3", "Soup"), ("7", None)]
     assert sorted(str(r[0]) for r in label_names(flatten_labels(df)).collect()) == ["None", "Pizza", "Soup", "Thai"]
+
+
+@pytest.mark.parametrize("flatten, column", [(flatten_search_export, "data"), (flatten_labels, "cuisines")])
+def test_a_document_is_read_once_as_each_kind(spark, flatten, column):
+    df = spark.createDataFrame([("r", "d.com", "[1]")], "restaurant_id string, domain string, text string").withColumnRenamed("text", column)
+    plan = flatten(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2  # the second only for what isn't an array
+    assert not any("from_json(" in line for line in plan.splitlines() if "Generate" in line or "Filter" in line)
+    assert "isnull(_array" in plan
