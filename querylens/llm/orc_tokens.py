@@ -51,6 +51,11 @@ _COMBINING = r"\pM"
 _PROBES = ["a b", " a  b ", "it 's", "x \u0301 y", "1 2\n3", "! ?", "<|endoftext|> a", "Ab, cd...", "É ü", "J\u030c, x"]
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    """``texts.to_pylist()``, which makes a scalar for each text, by way of an array of objects made in one go."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class TextEncoder:
     """Token ids of whole texts by the tokenizers library, which sees each repeated piece once.
 
@@ -148,7 +153,7 @@ class TextEncoder:
             texts = pc.replace_substring_regex(pc.if_else(combining, texts, pc.ascii_lower(texts)), _BEFORE_MARKS, r"\1 \2")
         lists = pc.split_pattern(texts, " ")
         pieces = lists.flatten().dictionary_encode()
-        distinct, number = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        distinct, number = _strings(pieces.dictionary), pieces.indices.to_numpy()
         found = self._ids_of(distinct)
         ids = np.frombuffer(b"".join(found), self.type)
         sizes = np.array(list(map(len, found)), np.int64) // np.dtype(self.type).itemsize

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import time
 import zlib
 
 import numpy as np
@@ -105,3 +106,20 @@ def test_empty_table(spark):
     path = scratch_path(spark, "test-tokens")
     orc_tokens.write_tokens(docs, path, PATH)
     assert orc_tokens.read_tokens(spark, path).collect() == []
+
+
+def test_pieces_become_strings_without_a_scalar_each():
+    odd = pa.array(["", "a", "É中", "x\0y", "\U0001f600"]).slice(1)
+    assert orc_tokens._strings(odd) == odd.to_pylist()
+    assert orc_tokens._strings(pa.array([], pa.string())) == []
+    many = pa.array([f"piece {i}" for i in range(200_000)])
+
+    def least(run):
+        times = []
+        for _ in range(3):
+            begun = time.process_time()
+            run()
+            times.append(time.process_time() - begun)
+        return min(times)
+
+    assert least(lambda: orc_tokens._strings(many)) < least(many.to_pylist) / 2
