@@ -15,8 +15,8 @@ beside them (``files``) holds.
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +30,12 @@ from querylens.llm.common import add_columns, give_back, kept_for, limit_batches
 END_ID = 1
 STRIPE_BYTES = 16 << 20
 ROWS_PER_GROUP = 1000
-# Pieces between blanks whose ids a worker remembers, half of them recent ones, and the longest of them.
+# Pieces between blanks whose ids a worker remembers, half of them the most frequent ones, and the bytes of the longest.
 REMEMBERED = 250_000
-REMEMBERED_CHARS = 48
+REMEMBERED_BYTES = 48
 # Texts that are encoded together, and their bytes; one longer text is taken alone.
-TEXTS = 4096
-TEXT_BYTES = 2 << 20
+TEXTS = 16384
+TEXT_BYTES = 8 << 20
 
 _FIELDS = [
     T.StructField("n_tokens", T.LongType()),
@@ -44,8 +44,8 @@ _FIELDS = [
 ]
 
 
-# A word of letters whose lower case is a single letter too, and marks after it that no rule joins with letters.
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# A word of letters whose lower case is a single letter too, and a mark after it that no rule joins with letters.
+_WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 _BEFORE_MARKS = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~])"
 _COMBINING = r"\pM"
 _PROBES = ["a b", " a  b ", "it 's", "x \u0301 y", "1 2\n3", "! ?", "<|endoftext|> a", "Ab, cd...", "É ü", "J\u030c, x"]
@@ -62,7 +62,7 @@ class TextEncoder:
     A tokenizer that drops white space and marks the ends of words gives a
     text the ids of its pieces between blanks, and a piece of a word and marks
     the ids of the two. So the words that are new in a batch are encoded in
-    one call and remembered. Whether a tokenizer is of that kind is tried when
+    one call and remembered, all in arrays, without Python objects for those that are known. Whether a tokenizer is of that kind is tried when
     it is loaded; one that is not encodes whole texts.
     """
 
@@ -81,8 +81,9 @@ class TextEncoder:
         )
         # What begins a special token; those are looked for before anything else.
         self.special = "<|"
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # The pieces that are remembered, how often each was met, their ids one after the other, and how many each has.
+        self.known = pa.array([], pa.string())
+        self.met, self.ids, self.sizes = np.empty(0, np.int64), np.empty(0, self.type), np.empty(0, np.int64)
         self.exact = bool(suffix) and self._same_by_pieces()
 
     def _same_by_pieces(self) -> bool:
@@ -94,82 +95,72 @@ class TextEncoder:
         found = self.whole.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.type).tobytes() for x in found]
 
-    def _learn_words(self, new: list[str]) -> None:
-        ids = np.array(self.plain.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, self.type)
+    def _ids_of_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.frombuffer(x, self.type) for x in self._all(texts)]
+        return np.concatenate([np.empty(0, self.type), *found]), np.array([len(x) for x in found], np.int64)
+
+    def _ids_of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not len(words):
+            return np.empty(0, self.type), np.empty(0, np.int64)
+        text = " ".join(_strings(pc.utf8_lower(words)))
+        ids = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type)
         last = np.flatnonzero(self.ends[ids]) + 1
-        if len(last) != len(new):
-            self.known.update(zip(new, self._all(new), strict=True))
-            return
-        raw, size = ids.tobytes(), ids.itemsize
-        places = [0, *(last * size).tolist()]
-        self.known.update((w, raw[a:b]) for w, a, b in zip(new, places, places[1:], strict=False))
-
-    def _learn(self, new: list[str]) -> None:
-        known, match = self.known, _WORD.fullmatch
-        words, rest, made = set(), set(), []
-        for piece in new:
-            if found := match(piece):
-                word, marks = found.groups()
-                word = word.lower()
-                made.append((piece, word, marks))
-                if word not in known:
-                    words.add(word)
-                if marks not in known:
-                    rest.add(marks)
-            else:
-                rest.add(piece)
-        rest = list(rest)
-        known.update(zip(rest, self._all(rest), strict=True))
-        if words:
-            self._learn_words(list(words))
-        for piece, word, marks in made:
-            known[piece] = known[word] + known[marks]
-
-    def _ids_of(self, distinct: list[str]) -> list[bytes]:
-        """The ids of each piece. What isn't used any more is forgotten in the second change of generations."""
-        if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        found = list(map(known.get, distinct))
-        missing = [i for i, x in enumerate(found) if x is None]
-        new = []
-        for i in missing:
-            piece = distinct[i]
-            if piece in older:
-                found[i] = known[piece] = older[piece]
-            else:
-                new.append(i)
-        self._learn([distinct[i] for i in new])
-        for i in new:
-            piece = distinct[i]
-            found[i] = known.pop(piece) if len(piece) > REMEMBERED_CHARS else known[piece]
-        return found
+        return (ids, np.diff(last, prepend=0)) if len(last) == len(words) else self._ids_of_all(_strings(words))
+
+    def _learn(self, new: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The pieces, words first, the ids of all of them, and how many each has."""
+        word = pc.match_substring_regex(new, _WORD)
+        words, rest = new.filter(word), new.filter(pc.invert(word))
+        (ids, sizes), (more, sizes_of_rest) = self._ids_of_words(words), self._ids_of_all(_strings(rest))
+        return pa.concat_arrays([words, rest]), np.concatenate([ids, more]), np.concatenate([sizes, sizes_of_rest])
+
+    def _forget(self) -> None:
+        """Let go the longest pieces, and all but the most frequent if there are too many."""
+        keep = pc.binary_length(self.known).to_numpy() <= REMEMBERED_BYTES
+        if keep.sum() > REMEMBERED:
+            keep[np.argsort(np.where(keep, -self.met, 1), kind="stable")[REMEMBERED // 2 :]] = False
+            self.met //= 2
+        if not keep.all():
+            self.ids = self.ids[np.repeat(keep, self.sizes)]
+            self.known, self.met, self.sizes = self.known.filter(pa.array(keep)), self.met[keep], self.sizes[keep]
+
+    def _places(self, pieces: pa.DictionaryArray) -> np.ndarray:
+        """Where each piece is among those that are remembered; new ones are learnt."""
+        distinct, number = pieces.dictionary, pieces.indices.to_numpy()
+        place = pc.index_in(distinct, value_set=self.known)
+        is_new = place.is_null()
+        new, ids, sizes = self._learn(distinct.filter(is_new))
+        place = place.fill_null(0).to_numpy().copy()
+        # They are remembered with words first.
+        place[is_new.to_numpy(zero_copy_only=False)] = len(self.known) + pc.index_in(distinct.filter(is_new), value_set=new).to_numpy()
+        self.known = pa.concat_arrays([self.known, new])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        self.met[place] += np.bincount(number, minlength=len(distinct))
+        return place[number]
 
     def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not pc.any(pc.match_substring(texts, self.special)).as_py():
-            # Neither changes any id, and more pieces are alike: a mark after a letter begins a piece of its own.
+            # None of these changes any id, and more pieces are alike: a mark after a letter begins a piece of its own.
             # Before a combining mark a small letter may be composed where its capital isn't; such texts keep capitals.
             combining = pc.match_substring_regex(texts, _COMBINING)
-            texts = pc.replace_substring_regex(pc.if_else(combining, texts, pc.ascii_lower(texts)), _BEFORE_MARKS, r"\1 \2")
+            texts = pc.if_else(combining, texts, pc.ascii_lower(texts))
+            texts = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), _BEFORE_MARKS, r"\1 \2")
         lists = pc.split_pattern(texts, " ")
-        pieces = lists.flatten().dictionary_encode()
-        distinct, number = _strings(pieces.dictionary), pieces.indices.to_numpy()
-        found = self._ids_of(distinct)
-        ids = np.frombuffer(b"".join(found), self.type)
-        sizes = np.array(list(map(len, found)), np.int64) // np.dtype(self.type).itemsize
-        before = np.cumsum(sizes) - sizes
-        of_piece = sizes[number]
+        place = self._places(lists.flatten().dictionary_encode())
+        of_piece = self.sizes[place]
         ends = np.concatenate([[0], np.cumsum(of_piece)])
-        flat = ids[np.repeat(before[number] - ends[:-1], of_piece) + np.arange(ends[-1])]
+        before = np.cumsum(self.sizes) - self.sizes
+        flat = self.ids[np.repeat(before[place] - ends[:-1], of_piece) + np.arange(ends[-1])]
+        self._forget()
         edges = lists.offsets.to_numpy().astype(np.int64)
         return flat, np.diff(ends[edges - edges[0]])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one text after the other, and how many each has."""
         if self.exact:
-            return self._by_pieces(texts)
-        found = [np.frombuffer(x, self.type) for x in self._all(texts.to_pylist())]
-        return np.concatenate([np.empty(0, self.type), *found]), np.array([len(x) for x in found], np.int64)
+            return self._by_pieces(texts.cast(pa.string()))
+        return self._ids_of_all(texts.to_pylist())
 
 
 def _one_core_encoder(path: str) -> TextEncoder:
@@ -178,6 +169,26 @@ def _one_core_encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
 
 
+def _together(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[list[pa.RecordBatch]]:
+    """The rows in lists of batches with up to ``TEXTS`` texts of ``TEXT_BYTES``; one longer text is alone."""
+    parts, texts, size = [], 0, 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            fit = min(int(np.searchsorted(ends, before + TEXT_BYTES - size, "right")), at + TEXTS - texts)
+            if fit <= at and parts:
+                yield parts
+                parts, texts, size = [], 0, 0
+                continue
+            part = batch.slice(at, max(1, fit - at))
+            at += part.num_rows
+            parts, texts, size = [*parts, part], texts + part.num_rows, size + int(ends[at - 1]) - before
+    if parts:
+        yield parts
+
+
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = END_ID) -> DataFrame:
     """``docs`` with ``tokens`` in place of the text, ``n_tokens``, and ``file_start``: the tokens before it in its task.
 
@@ -190,22 +201,18 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = EN
 
     def run(batches):
         encoder, start = kept_for(f"encoder of {tokenizer}", lambda: _one_core_encoder(tokenizer)), 0
-        for batch in batches:
-            index = {f.name: i for i, f in enumerate(batch.schema)}
-            ends = np.cumsum(pc.binary_length(batch.column(index[text])).fill_null(0).to_numpy(), dtype=np.int64)
-            at = 0
-            while at < batch.num_rows:
-                full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT_BYTES, "right"))
-                part = batch.slice(at, max(1, min(full - at, TEXTS)))
+        for parts in _together(batches, text):
+            column = pa.concat_arrays([x.column(text) for x in parts])
+            ids, lengths = encoder.encode(column.fill_null(""))
+            values = np.insert(ids.astype(np.int32), np.cumsum(lengths), end_id)
+            offsets = np.concatenate([[0], np.cumsum(lengths + 1)])
+            tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+            made, at = [pa.array(lengths + 1), pa.array(start + offsets[:-1]), tokens], 0
+            for part in parts:
+                columns = [*[part.column(f.name) for f in kept], *[x.slice(at, part.num_rows) for x in made]]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 at += part.num_rows
-                ids, lengths = encoder.encode(part.column(index[text]).fill_null(""))
-                values = np.insert(ids.astype(np.int32), np.cumsum(lengths), end_id)
-                offsets = np.concatenate([[0], np.cumsum(lengths + 1)])
-                tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
-                made = [pa.array(lengths + 1), pa.array(start + offsets[:-1]), tokens]
-                columns = [part.column(index[f.name]) for f in kept]
-                yield pa.RecordBatch.from_arrays([*columns, *made], names=schema.names)
-                start += int(offsets[-1])
+            start += int(offsets[-1])
             # What is remembered lies between the pieces of what isn't, which the process would hold as free memory.
             give_back()
 

@@ -123,3 +123,21 @@ def test_pieces_become_strings_without_a_scalar_each():
         return min(times)
 
     assert least(lambda: orc_tokens._strings(many)) < least(many.to_pylist) / 2
+
+
+def test_a_new_line_parts_words_as_a_blank_does():
+    encoder, seen = orc_tokens.TextEncoder(PATH), []
+    encoder._all, encode_all = lambda texts: seen.extend(texts) or encode_all(texts), encoder._all
+    texts = [f"word{'abc'[i % 3] * (i + 1)}.\nÉcole\n\nnext{'xyz'[i % 3]}" for i in range(30)]
+    ids, _ = encoder.encode(pa.array(texts))
+    assert list(ids) == [i for x in texts for i in expected(x)]
+    assert not [x for x in seen if "\n" in x]
+
+
+def test_batches_are_encoded_together(monkeypatch):
+    monkeypatch.setattr(orc_tokens, "TEXTS", 5)
+    monkeypatch.setattr(orc_tokens, "TEXT_BYTES", 20)
+    texts = [["ab"], ["cd", None], [], ["x" * 19, "y", "z" * 50, "w"], ["", "a", "b", "c", "d", "e"]]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(x, pa.string())}) for x in texts]
+    got = [[x for part in parts for x in part.column("text").to_pylist()] for parts in orc_tokens._together(batches, "text")]
+    assert got == [["ab", "cd", None], ["x" * 19, "y"], ["z" * 50], ["w", "", "a", "b", "c"], ["d", "e"]]
