@@ -8,6 +8,7 @@ import pytest
 
 from querylens.operators import metrics
 from querylens.operators.classify import classify_queries
+from querylens.operators.flatten import flatten_search_export
 from querylens.plans import catalog, shapes
 from querylens.plans.catalog import QUERIES
 
@@ -86,3 +87,17 @@ def test_registered_totals_count_queries_once(spark, flat):
     once, distinct = (metrics.entity_totals(collapsed, queries_once=x).drop("position_weight") for x in (True, False))
     assert once.exceptAll(distinct).isEmpty()
     assert "count(distinct" not in executed(catalog.totals(spark, SF_DIR))
+
+
+def test_documents_are_packed_and_parsed_in_many_tasks(spark, tmp_path):
+    """Spark merges the small tasks of a shuffle to one a core or one more, however long each record takes to parse."""
+    day = datetime.datetime(2024, 1, 1)
+    lines = [(i * 500, i % 3, i % 2, 1 + i % 7, 2.0, 0.01, 0.5, day) for i in range(400)]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_shipdate timestamp"
+    parts = [(i, f"hot bolt{i}", "SMALL") for i in range(3)]
+    spark.createDataFrame(lines, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(0,), (1,)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    flat = flatten_search_export(shapes.search_export(spark, str(tmp_path)))
+    assert flat.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert flat.count() == 400
