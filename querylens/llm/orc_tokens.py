@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,10 @@ REMEMBERED = 250_000
 REMEMBERED_BYTES = 48
 # Texts that are encoded together, and their bytes; one longer text is taken alone.
 TEXTS = 16384
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 2 << 20
+# New pieces that the library encodes in one call, and pieces whose ids are put in place at a time: what a worker holds beside texts and ids.
+CALL = 4096
+PLACED = 1 << 16
 
 _FIELDS = [
     T.StructField("n_tokens", T.LongType()),
@@ -99,6 +102,12 @@ class TextEncoder:
         found = [np.frombuffer(x, self.type) for x in self._all(texts)]
         return np.concatenate([np.empty(0, self.type), *found]), np.array([len(x) for x in found], np.int64)
 
+    def _in_calls(self, ids_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``ids_of`` all pieces, ``CALL`` at a time: the library keeps some hundred bytes for each token of a call."""
+        found = [ids_of(pieces.slice(at, CALL)) for at in range(0, max(1, len(pieces)), CALL)]
+        ids, sizes = zip(*found, strict=True)
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def _ids_of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(words):
             return np.empty(0, self.type), np.empty(0, np.int64)
@@ -111,7 +120,8 @@ class TextEncoder:
         """The pieces, words first, the ids of all of them, and how many each has."""
         word = pc.match_substring_regex(new, _WORD)
         words, rest = new.filter(word), new.filter(pc.invert(word))
-        (ids, sizes), (more, sizes_of_rest) = self._ids_of_words(words), self._ids_of_all(_strings(rest))
+        ids, sizes = self._in_calls(self._ids_of_words, words)
+        more, sizes_of_rest = self._in_calls(lambda pieces: self._ids_of_all(_strings(pieces)), rest)
         return pa.concat_arrays([words, rest]), np.concatenate([ids, more]), np.concatenate([sizes, sizes_of_rest])
 
     def _forget(self) -> None:
@@ -148,12 +158,15 @@ class TextEncoder:
             texts = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), _BEFORE_MARKS, r"\1 \2")
         lists = pc.split_pattern(texts, " ")
         place = self._places(lists.flatten().dictionary_encode())
-        of_piece = self.sizes[place]
-        ends = np.concatenate([[0], np.cumsum(of_piece)])
+        edges = lists.offsets.to_numpy().astype(np.int64)
+        del texts, lists
+        ends = np.concatenate([[0], np.cumsum(self.sizes[place])])
         before = np.cumsum(self.sizes) - self.sizes
-        flat = self.ids[np.repeat(before[place] - ends[:-1], of_piece) + np.arange(ends[-1])]
+        flat = np.empty(ends[-1], self.type)
+        for at in range(0, len(place), PLACED):
+            some, edge = place[at : at + PLACED], ends[at : at + PLACED + 1]
+            flat[edge[0] : edge[-1]] = self.ids[np.repeat(before[some] - edge[:-1], np.diff(edge)) + np.arange(edge[0], edge[-1])]
         self._forget()
-        edges = lists.offsets.to_numpy().astype(np.int64)
         return flat, np.diff(ends[edges - edges[0]])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

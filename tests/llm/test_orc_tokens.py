@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import glob
+import subprocess
+import sys
 import time
 import zlib
 
@@ -141,3 +143,46 @@ def test_batches_are_encoded_together(monkeypatch):
     batches = [pa.RecordBatch.from_pydict({"text": pa.array(x, pa.string())}) for x in texts]
     got = [[x for part in parts for x in part.column("text").to_pylist()] for parts in orc_tokens._together(batches, "text")]
     assert got == [["ab", "cd", None], ["x" * 19, "y"], ["z" * 50], ["w", "", "a", "b", "c"], ["d", "e"]]
+
+
+_PEAK = """
+import sys
+import numpy as np, pyarrow as pa
+from querylens.llm import orc_tokens
+from querylens.llm.common import give_back
+
+def held(kind):
+    return next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith(kind)) >> 10
+
+random = np.random.default_rng(0)
+words = np.array(["".join(map(chr, 97 + random.integers(0, 26, 1 + n % 9))) for n in range(60_000)])
+picked = words[(len(words) * random.random((24_000, 80)) ** 3).astype(int)]
+batches = [pa.RecordBatch.from_pydict({"text": [" ".join(x) for x in picked[at : at + 2000]]}) for at in range(0, len(picked), 2000)]
+encoder = orc_tokens._one_core_encoder(sys.argv[1])
+del picked
+give_back()
+open("/proc/self/clear_refs", "w").write("5")  # the peak so far is forgotten
+before = held("VmRSS")
+for parts in orc_tokens._together(iter(batches), "text"):
+    encoder.encode(pa.concat_arrays([x.column("text") for x in parts]))
+    give_back()
+print(held("VmHWM") - before, sum(x.nbytes for x in batches) >> 20)
+"""
+
+
+def test_a_worker_holds_little_beside_the_text():
+    done = subprocess.run([sys.executable, "-c", _PEAK, PATH], capture_output=True, text=True, check=True)
+    peak, text = map(int, done.stdout.split())
+    assert text >= 8
+    assert peak < 120
+
+
+def test_many_new_pieces_are_encoded_in_several_calls(monkeypatch):
+    monkeypatch.setattr(orc_tokens, "CALL", 3)
+    monkeypatch.setattr(orc_tokens, "PLACED", 4)
+    encoder = orc_tokens.TextEncoder(PATH)
+    texts = [f"a{k}b word{'xyz'[k % 3] * k}, É{k} <{k}>" * (k % 4) for k in range(20)]
+    ids, lengths = encoder.encode(pa.array(texts))
+    assert encoder.exact
+    assert list(ids) == [i for x in texts for i in expected(x)]
+    assert list(lengths) == [len(expected(x)) for x in texts]
